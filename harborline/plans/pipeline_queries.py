@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from harborline.operators import dedupe, late
+from harborline.operators import dedupe, late, timestamps
 from harborline.session import scratch_path, table
 
 
+def p1_found(spark, sf):
+    """Each timestamp that states an instant, and that instant."""
+    found = timestamps.normalise(table(spark, sf, "raw_messages"), table(spark, sf, "facilities"))
+    return found.where("utc_us IS NOT NULL").select("message_id", "field_name", "utc_us")
+
+
 def p7_found(spark, sf):
     """Every row that isn't the kept copy of its event."""
     rows = dedupe.keyed(table(spark, sf, "shipment_events").select("message_id", "event_type", "event_id", "ingest_time"))
@@ -42,7 +48,7 @@ _CLASSIFIED = f"""
     SELECT message_id, facility_id, p, a, CASE WHEN a < p + 300000000 THEN 'on_time' WHEN a < p + 86700000000 THEN 'late' ELSE 'too_late' END AS arrival
     FROM (SELECT *, epoch_us(event_time) - epoch_us(event_time) % 300000000 AS p, epoch_us(ingest_time) AS a FROM ({_RANKED}) WHERE rn = 1)"""
 
-QUERIES = {"p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
+QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
 ORACLE = {
     "p7_found": f"SELECT message_id FROM ({_RANKED}) WHERE rn > 1",
     "p3_found": f"SELECT message_id, arrival FROM ({_CLASSIFIED}) WHERE arrival <> 'on_time'",
