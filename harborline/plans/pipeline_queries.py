@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from harborline.operators import dedupe, late, timestamps
+from pyspark.sql import functions as F
+
+from harborline.operators import dedupe, history, late, timestamps
 from harborline.session import scratch_path, table
 
 
@@ -12,6 +14,22 @@ def p1_found(spark, sf):
     return found.where("utc_us IS NOT NULL").select("message_id", "field_name", "utc_us")
 
 
+def p4_facilities(spark, sf):
+    """History of facilities."""
+    return history.facility_history(table(spark, sf, "facilities"), table(spark, sf, "facility_updates"))
+
+
+def p4_drivers(spark, sf):
+    """History of drivers."""
+    return history.driver_history(table(spark, sf, "driver_updates"))
+
+
+def p4_found(spark, sf):
+    """Each start of a version."""
+    starts = lambda df, kind: df.select(F.lit(kind).alias("entity_kind"), F.col("entity").alias("entity_id"), F.unix_micros("valid_from").alias("valid_from_us"))
+    return starts(p4_facilities(spark, sf), "facility").unionByName(starts(p4_drivers(spark, sf), "driver"))
+
+
 def p7_found(spark, sf):
     """Every row that isn't the kept copy of its event."""
     rows = dedupe.keyed(table(spark, sf, "shipment_events").select("message_id", "event_type", "event_id", "ingest_time"))
@@ -48,8 +66,36 @@ _CLASSIFIED = f"""
     SELECT message_id, facility_id, p, a, CASE WHEN a < p + 300000000 THEN 'on_time' WHEN a < p + 86700000000 THEN 'late' ELSE 'too_late' END AS arrival
     FROM (SELECT *, epoch_us(event_time) - epoch_us(event_time) % 300000000 AS p, epoch_us(ingest_time) AS a FROM ({_RANKED}) WHERE rn = 1)"""
 
-QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
+
+
+def _history(entity: str, attributes: list[str], source: str, created: str) -> str:
+    """SQL of versions(): created is a query of creation rows, or empty if the first row creates."""
+    named = lambda a: f"CASE WHEN updated_fields IS NULL THEN {a} IS NOT NULL ELSE list_contains(list_transform(updated_fields, lambda x: lower(regexp_replace(x, '([a-z])([A-Z])', '\\1_\\2', 'g'))), '{a}') END"
+    sets = ", ".join(f"CASE WHEN {named(a)} THEN {{'v': {a}}} END AS s_{a}" for a in attributes)
+    full = ", ".join(f"last_value(s_{a} IGNORE NULLS) OVER w AS s_{a}" for a in attributes)
+    values = ", ".join(f"s_{a}.v AS {a}" for a in attributes)
+    same = " AND ".join(f"{a} IS NOT DISTINCT FROM lag({a}) OVER v" for a in attributes)
+    return f"""
+    WITH u AS (SELECT {entity} AS entity, event_time AS t, 1 AS k, ingest_time AS i, update_id AS n, {'NULL' if created else 'true'} AS c, {sets}
+               FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingest_time, update_id) AS rn FROM {source}) WHERE rn = 1 {created}),
+         f AS (SELECT entity, t, k, i, n, last_value(c IGNORE NULLS) OVER w AS c, {full} FROM u
+               WINDOW w AS (PARTITION BY entity ORDER BY t, k, i, n ROWS UNBOUNDED PRECEDING)),
+         l AS (SELECT entity, t, {values} FROM f WHERE c QUALIFY row_number() OVER (PARTITION BY entity, t ORDER BY k DESC, i DESC, n DESC) = 1),
+         s AS (SELECT *, lag(t) OVER v IS NULL OR NOT ({same}) AS starts FROM l WINDOW v AS (PARTITION BY entity ORDER BY t)),
+         h AS (SELECT entity, {', '.join(attributes)}, t AS valid_from, lead(t) OVER (PARTITION BY entity ORDER BY t) AS valid_to FROM s WHERE starts)
+    SELECT *, valid_to IS NULL AS is_current FROM h"""
+
+
+_FACILITIES = _history("facility_id", ["facility_name", "status", "capacity_units"], "facility_updates", """
+    UNION ALL SELECT DISTINCT facility_id, event_time, 0, NULL, NULL, true, {'v': facility_name}, {'v': status}, {'v': capacity_units} FROM facilities""")
+_DRIVERS = _history("driver_id", ["home_facility_id"], "driver_updates", "")
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
 ORACLE = {
+    "p4_facilities": _FACILITIES,
+    "p4_drivers": _DRIVERS,
+    "p4_found": f"""SELECT 'facility' AS entity_kind, entity AS entity_id, epoch_us(valid_from) AS valid_from_us FROM ({_FACILITIES})
+        UNION ALL SELECT 'driver', entity, epoch_us(valid_from) FROM ({_DRIVERS})""",
     "p7_found": f"SELECT message_id FROM ({_RANKED}) WHERE rn > 1",
     "p3_found": f"SELECT message_id, arrival FROM ({_CLASSIFIED}) WHERE arrival <> 'on_time'",
     "p3_revisions": f"""
