@@ -67,43 +67,41 @@ def with_micros(df: DataFrame, text: str, default_zone: str, day_first: str, nam
 
     default_zone: column with a zone name in any spelling, null for UTC. day_first: boolean column for numeric dates.
     Blank texts, placeholders, impossible dates and unknown zones give null. Digits beyond microseconds are cut. The
-    steps are separate projections, each used more than once, so that none is copied into the next and all are compiled.
+    steps are separate projections, each used more than once, so that none is copied into the next.
     """
     given, zones = df.columns, zone_names(df.sparkSession)
-    f = lambda i: F.get("_f", F.lit(i))
     whole = lambda c: c.try_cast("int")
     df = df.withColumn("_t", F.upper(F.regexp_replace(F.regexp_replace(text, r"^[\s\"'\u00a0]+|[\s\"'\u00a0]+$", ""), r"\s+", " ")))
-    rewritten = F
-    for pattern, fields in CASCADE:
-        rewritten = rewritten.when(F.col("_t").rlike(pattern), F.regexp_replace("_t", pattern, fields))
+    rewritten = F.col("_t")
+    for pattern, fields in CASCADE:  # a text that is rewritten fits no later pattern
+        rewritten = F.regexp_replace(rewritten, pattern, fields)
     number, micros = _number("_t")
-    df = df.withColumns({"_f": F.split(rewritten, r"\|", -1), "_n": number})
-    df = df.select(
-        *given, micros.alias("_number"), whole(f(0)).alias("_y"), f(1).alias("_b"), f(2).alias("_c"), whole(f(3)).alias("_h"), whole(f(4)).alias("_m"),
-        F.when(f(5) == "", 0).otherwise(whole(f(5))).alias("_s"), F.rpad(F.substring(f(6), 1, 6), 6, "0").cast("int").alias("_us"),
-        f(7).alias("_half"), f(8).alias("_offset"), f(9).alias("_named"),
-    )
+    df = df.withColumns({"_w": rewritten, "_n": number})
+    kinds = "_y INT, _b STRING, _c STRING, _h INT, _m INT, _s INT, _us STRING, _half STRING, _offset STRING, _named STRING"
+    fields = F.from_csv("_w", F.lit(kinds), {"sep": "|", "mode": "PERMISSIVE", "quote": ""})
+    df = df.select(*given, micros.alias("_number"), F.when(F.instr("_w", "|") > 0, fields).alias("_f")).select(*given, "_number", "_f.*")
     swap = F.col("_b").startswith("?") & F.coalesce(F.col(day_first), F.lit(False))
     df = df.withColumns({"_b": F.when(swap, F.col("_c")).otherwise(F.col("_b")), "_c": F.when(swap, F.col("_b")).otherwise(F.col("_c"))})
     word = F.floor((F.instr(F.lit(_MONTHS), F.col("_b")) + 3) / 4).cast("int")
     df = df.withColumns({
         "_mo": F.when(F.col("_b").rlike("^[A-Z]{3}$"), F.nullif(word, F.lit(0))).otherwise(whole(F.ltrim(F.col("_b"), F.lit("?")))),
         "_d": whole(F.ltrim(F.col("_c"), F.lit("?+"))), "_doy": F.col("_c").startswith("+"),
-        "_h": F.expr("CASE WHEN _half = '' THEN _h WHEN _h BETWEEN 1 AND 12 THEN _h % 12 + IF(_half = 'PM', 12, 0) END"),
+        "_h": F.expr("CASE WHEN _half IS NULL THEN _h WHEN _h BETWEEN 1 AND 12 THEN _h % 12 + IF(_half = 'PM', 12, 0) END"),
+        "_s": F.coalesce("_s", F.lit(0)), "_us": F.coalesce(F.rpad(F.substring("_us", 1, 6), 6, "0").cast("int"), F.lit(0)),
         "_hh": whole(F.substring("_offset", 2, 2)), "_mm": F.coalesce(whole(F.regexp_extract("_offset", r"^.\d\d:?(\d\d)$", 1)), F.lit(0)),
     })
     df = df.withColumns({
         "_date": F.expr("CASE WHEN _doy THEN date_add(to_date(try_make_timestamp_ntz(_y, 1, 1, 0, 0, 0)), _d - 1) ELSE to_date(try_make_timestamp_ntz(_y, _mo, _d, 0, 0, 0)) END"),
         "_24": F.expr("_h = 24 AND _m = 0 AND _s = 0 AND _us = 0"),
         "_minutes": F.when(F.col("_offset").rlike("^[+-]"), F.expr("CASE WHEN _hh <= 18 AND _mm < 60 THEN IF(_offset LIKE '-%', -1, 1) * (_hh * 60 + _mm) END")).otherwise(_constant_map(ABBREVIATIONS, "int")[F.col("_offset")]),
-        "_zone": F.when(F.col("_named") != "", zones[zone_key(F.col("_named"))]).otherwise(F.coalesce(zones[zone_key(F.col(default_zone))], F.lit("UTC"))),
+        "_zone": F.when(F.col("_named").isNotNull(), zones[zone_key(F.col("_named"))]).otherwise(F.coalesce(zones[zone_key(F.col(default_zone))], F.lit("UTC"))),
     })
     df = df.withColumn("_wall", F.expr("""
         (unix_date(CASE WHEN year(_date) = _y THEN _date END) + IF(_24, 1, 0)) * 86400000000L
         + CASE WHEN _24 THEN 0 WHEN _h < 24 AND _m < 60 AND _s < 60 THEN _h * 3600 + _m * 60 + _s END * 1000000L + _us"""))
     local = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros("_wall"), F.col("_zone")))
-    stated = F.when(F.col("_offset") != "", F.expr("_wall - _minutes * 60000000L")).otherwise(local)
-    return df.select(*given, F.when(F.col("_offset").isNull(), F.col("_number")).otherwise(stated).alias(name))
+    stated = F.when(F.col("_offset").isNotNull(), F.expr("_wall - _minutes * 60000000L")).otherwise(local)
+    return df.select(*given, F.when(F.col("_b").isNull() & F.col("_c").isNull(), F.col("_number")).otherwise(stated).alias(name))
 
 
 def day_orders(texts: DataFrame, source: str, text: str) -> DataFrame:

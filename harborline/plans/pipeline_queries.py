@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harborline.operators import dedupe, history, late, timestamps
+from harborline.operators import dedupe, history, late, schema_drift, timestamps
 from harborline.session import scratch_path, table
 
 
@@ -30,6 +30,19 @@ def p4_found(spark, sf):
     return starts(p4_facilities(spark, sf), "facility").unionByName(starts(p4_drivers(spark, sf), "driver"))
 
 
+def p6_found(spark, sf):
+    """Each change of the payload's fields between consecutive files of a feed."""
+    return schema_drift.changes(schema_drift.profiles(table(spark, sf, "landed_records")))
+
+
+def p6_table(event_type: str):
+    """One consistent table of an event type."""
+    return lambda spark, sf: schema_drift.unified(table(spark, sf, "landed_records"), event_type)
+
+
+_LANDED = ["delivery.completed", "shipment.created", "driver.location_updated", "facility.capacity_changed"]
+
+
 def p7_found(spark, sf):
     """Every row that isn't the kept copy of its event."""
     rows = dedupe.keyed(table(spark, sf, "shipment_events").select("message_id", "event_type", "event_id", "ingest_time"))
@@ -90,7 +103,8 @@ _FACILITIES = _history("facility_id", ["facility_name", "status", "capacity_unit
     UNION ALL SELECT DISTINCT facility_id, event_time, 0, NULL, NULL, true, {'v': facility_name}, {'v': status}, {'v': capacity_units} FROM facilities""")
 _DRIVERS = _history("driver_id", ["home_facility_id"], "driver_updates", "")
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
+QUERIES |= {f"p6_table_{t.replace('.', '_')}": p6_table(t) for t in _LANDED}
 ORACLE = {
     "p4_facilities": _FACILITIES,
     "p4_drivers": _DRIVERS,
