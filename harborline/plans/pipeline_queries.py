@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harborline.operators import dedupe, history, late, schema_drift, timestamps
+from harborline.operators import dedupe, history, late, schema_drift, timestamps, trips
 from harborline.session import scratch_path, table
 
 
@@ -30,6 +30,16 @@ def p4_found(spark, sf):
     return starts(p4_facilities(spark, sf), "facility").unionByName(starts(p4_drivers(spark, sf), "driver"))
 
 
+def p5_segments(spark, sf):
+    """Stops and trips with start, end, duration and distance."""
+    return trips.segments(table(spark, sf, "driver_locations"))
+
+
+def p5_found(spark, sf):
+    """Stops and trips by their first and last pings."""
+    return p5_segments(spark, sf).select("driver_id", "segment_kind", "first_ping_id", "last_ping_id")
+
+
 def p6_found(spark, sf):
     """Each change of the payload's fields between consecutive files of a feed."""
     return schema_drift.changes(schema_drift.profiles(table(spark, sf, "landed_records")))
@@ -103,7 +113,7 @@ _FACILITIES = _history("facility_id", ["facility_name", "status", "capacity_unit
     UNION ALL SELECT DISTINCT facility_id, event_time, 0, NULL, NULL, true, {'v': facility_name}, {'v': status}, {'v': capacity_units} FROM facilities""")
 _DRIVERS = _history("driver_id", ["home_facility_id"], "driver_updates", "")
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
 QUERIES |= {f"p6_table_{t.replace('.', '_')}": p6_table(t) for t in _LANDED}
 ORACLE = {
     "p4_facilities": _FACILITIES,
