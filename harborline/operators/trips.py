@@ -19,8 +19,8 @@ RADIUS_M, LEAST_S, SILENCE_S = 100.0, 300.0, 7200.0
 BLOCK_S, MARGIN_S = 7 * 86_400, 86_400
 #: Explicit durations reach over so many pings; a longer stop or trip goes on with a constant hazard.
 EXPLICIT = 1500
-#: Emissions: position noise of a standing device (m), share and scale of moves on the spot, log-normal speed of travel (m/s), share of pauses in travel.
-NOISE_M, SPOT_SHARE, SPOT_M, SPEED, SPEED_SD, PAUSES = 14.0, 0.03, 45.0, 8.0, 0.9, 0.12
+#: Emissions: position noise of a standing device (m), share and scale of moves on the spot, log-normal speed of travel (m/s), share of pauses in travel and their mean length (s).
+NOISE_M, SPOT_SHARE, SPOT_M, SPEED, SPEED_SD, PAUSES, PAUSE_S = 14.0, 0.03, 45.0, 8.0, 0.9, 0.1, 20.0
 #: Log-normal durations (s): medians and deviations of stops (cut at LEAST_S) and of trips.
 STOP_S, STOP_SD, TRIP_S, TRIP_SD = 1500.0, 1.1, 900.0, 1.2
 #: Log chance of going on, per ping beyond the explicit durations.
@@ -76,7 +76,7 @@ def decode(t, p) -> list[tuple[int, int]]:
         return []
     d, dt = np.hypot(*np.diff(p, axis=0).T), np.maximum(np.diff(t), 0.5)
     standing = np.logaddexp(np.log(1 - SPOT_SHARE) + _rayleigh(d, NOISE_M), np.log(SPOT_SHARE) + _rayleigh(d, SPOT_M))
-    moving = np.logaddexp(np.log(1 - PAUSES) + _log_normal(np.maximum(d, 1.0) / dt, SPEED, SPEED_SD) - np.log(dt), np.log(PAUSES) + _rayleigh(d, NOISE_M))
+    moving = np.logaddexp(np.log(1 - PAUSES) + _log_normal(np.maximum(d, 1.0) / dt, SPEED, SPEED_SD) - np.log(dt), np.log(PAUSES) + _rayleigh(d, NOISE_M) - dt / PAUSE_S)
     emit = [np.concatenate([[0], np.cumsum(standing)]), np.concatenate([[0], np.cumsum(moving)])]
     score = np.full((2, n), -np.inf)  # best score of a segmentation whose last segment, in the state, ends at the ping
     back = np.zeros((2, n), np.int64)
