@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from harborline.llm import contamination
+from harborline.llm import contamination, personal_data
 from harborline.session import table
 
 
+def p2_found(spark, sf):
+    """Each item of personal data in the free texts."""
+    found = personal_data.items(table(spark, sf, "delivery_records"))
+    return found.select("record_id", "field_name", "pii_type", found.item_no.cast("int").alias("item_no"))
+
+
+def p2_masked(spark, sf):
+    """The texts with typed placeholders."""
+    return personal_data.masked(table(spark, sf, "delivery_records"))
+
+
 def p8_found(spark, sf):
     """Documents that repeat at least twelve words of an evaluation item, with the item."""
     return contamination.leaked(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
@@ -16,5 +27,5 @@ def p8_passages(spark, sf):
     return contamination.passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_passages": p8_passages}
+QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages}
 ORACLE: dict[str, str] = {}
