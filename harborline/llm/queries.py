@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harborline.llm import contamination, personal_data
+from harborline.llm import contamination, mixture, personal_data, reading_level
 from harborline.session import table
 
 
@@ -27,5 +27,29 @@ def p8_passages(spark, sf):
     return contamination.passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages}
+def p9_mixture(spark, sf):
+    """The mixture, shuffled."""
+    return mixture.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p9_shares(spark, sf):
+    """Target and reached shares."""
+    return mixture.shares(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def _ranker(spark, sf):
+    return reading_level.fitted(table(spark, sf, "documents"), table(spark, sf, "reading_labels"))
+
+
+def p10_found(spark, sf):
+    """The reading band of each document of English prose."""
+    return reading_level.levels(table(spark, sf, "documents"), _ranker(spark, sf)).select("doc_id", "reading_band")
+
+
+def p10_profile(spark, sf):
+    """How demanding each source is."""
+    return reading_level.profile(table(spark, sf, "documents"), _ranker(spark, sf))
+
+
+QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
 ORACLE: dict[str, str] = {}
