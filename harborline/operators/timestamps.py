@@ -7,12 +7,11 @@ A repeated local hour means the earlier instant; a skipped one is read with the
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.operators.lookup import lookup
+from harborline.session import materialize
 
 _ZONE = r"(Z|UTC?|[A-Z]{3,4}|[+-]\d{2}(?::?\d{2})?)?"
 _CLOCK = r"(\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
@@ -38,14 +37,15 @@ ABBREVIATIONS = {
 _MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC"
 
 
-def _constant_map(values: dict, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>")
+def _constant_map(values: dict) -> Column:
+    """A map of constants, folded to one literal when the plan is made."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
 def zone_names(spark: SparkSession) -> Column:
     """Map of lower-case zone name (blanks as underscores) -> name known to the JVM."""
     names = [str(n) for n in spark.sparkContext._jvm.java.time.ZoneId.getAvailableZoneIds().toArray()]
-    return _constant_map({n.lower(): n for n in sorted(names)}, "string")
+    return _constant_map({n.lower(): n for n in sorted(names)})
 
 
 def zone_key(c: Column) -> Column:
@@ -65,7 +65,7 @@ def _number(text: str) -> tuple[Column, Column]:
 def with_micros(df: DataFrame, text: str, default_zone: str, day_first: str, name: str = "utc_us") -> DataFrame:
     """df with the microseconds since 1970 UTC stated by the column `text`, or null.
 
-    default_zone: column with a zone name in any spelling, null for UTC. day_first: boolean column for numeric dates.
+    default_zone: column with a zone name known to the JVM, null for UTC. day_first: boolean column for numeric dates.
     Blank texts, placeholders, impossible dates and unknown zones give null. Digits beyond microseconds are cut. The
     steps are separate projections, each used more than once, so that none is copied into the next.
     """
@@ -93,8 +93,8 @@ def with_micros(df: DataFrame, text: str, default_zone: str, day_first: str, nam
     df = df.withColumns({
         "_date": F.expr("CASE WHEN _doy THEN date_add(to_date(try_make_timestamp_ntz(_y, 1, 1, 0, 0, 0)), _d - 1) ELSE to_date(try_make_timestamp_ntz(_y, _mo, _d, 0, 0, 0)) END"),
         "_24": F.expr("_h = 24 AND _m = 0 AND _s = 0 AND _us = 0"),
-        "_minutes": F.when(F.col("_offset").rlike("^[+-]"), F.expr("CASE WHEN _hh <= 18 AND _mm < 60 THEN IF(_offset LIKE '-%', -1, 1) * (_hh * 60 + _mm) END")).otherwise(_constant_map(ABBREVIATIONS, "int")[F.col("_offset")]),
-        "_zone": F.when(F.col("_named").isNotNull(), zones[zone_key(F.col("_named"))]).otherwise(F.coalesce(zones[zone_key(F.col(default_zone))], F.lit("UTC"))),
+        "_minutes": F.when(F.col("_offset").rlike("^[+-]"), F.expr("CASE WHEN _hh <= 18 AND _mm < 60 THEN IF(_offset LIKE '-%', -1, 1) * (_hh * 60 + _mm) END")).otherwise(_constant_map(ABBREVIATIONS)[F.col("_offset")]),
+        "_zone": F.when(F.col("_named").isNotNull(), zones[zone_key(F.col("_named"))]).otherwise(F.coalesce(F.col(default_zone), F.lit("UTC"))),
     })
     df = df.withColumn("_wall", F.expr("""
         (unix_date(CASE WHEN year(_date) = _y THEN _date END) + IF(_24, 1, 0)) * 86400000000L
@@ -118,7 +118,8 @@ def day_orders(texts: DataFrame, source: str, text: str) -> DataFrame:
 def normalise(messages: DataFrame, facilities: DataFrame) -> DataFrame:
     """(message_id, field_name, written, utc_us) for each event_time and payload timestamp that is written at all.
 
-    utc_us is null where no instant is stated. facilities may repeat a facility: its smallest zone spelling counts.
+    utc_us is null where no instant is stated. facilities may repeat a facility: its smallest zone spelling counts;
+    one that names no zone counts as missing.
     """
     rows = messages.select(
         "message_id", "source_system", "facility_id", F.col("event_time").alias("_e"),
@@ -127,6 +128,8 @@ def normalise(messages: DataFrame, facilities: DataFrame) -> DataFrame:
     rows = rows.select("message_id", "source_system", "facility_id", F.explode(F.array(F.struct(F.lit("event_time").alias("field_name"), F.col("_e").alias("written")), F.struct(F.lit("timestamp").alias("field_name"), F.col("_p").alias("written")))).alias("x"))
     rows = rows.select("message_id", "source_system", "facility_id", "x.*").where("written IS NOT NULL")
     zones = facilities.groupBy("facility_id").agg(F.min("timezone").alias("timezone"))
+    zones = zones.select("facility_id", zone_names(messages.sparkSession)[zone_key(F.col("timezone"))].alias("timezone"))
     orders = day_orders(rows, "source_system", "written")
     rows = lookup(lookup(rows, zones, "facility_id", "message_id"), orders, "source_system", "message_id")
-    return with_micros(rows, "written", "timezone", "day_first").select("message_id", "field_name", "written", "utc_us")
+    # written, as a filter on utc_us would else be pushed below the projections, with all their expressions put into it
+    return materialize(with_micros(rows, "written", "timezone", "day_first").select("message_id", "field_name", "written", "utc_us"), "instants")
