@@ -140,9 +140,11 @@ def copies(rows: DataFrame, winners: DataFrame, row_id: str = "message_id") -> D
 def keep_first(df: DataFrame, store: SeenStore | None = None, **columns: str) -> DataFrame:
     """df with exactly one row per event: of those delivered earliest, the one with the smallest row id.
 
-    Rows without an identifier are kept. With a store, events of earlier batches are dropped too.
+    Rows without an identifier are kept; rows without an ingest time come last, those without a row id last of a tie; of
+    rows that repeat in full one is kept. Columns of any name come through as they are. With a store, events of earlier batches are dropped too.
     """
-    rows = keyed(df, **columns)
+    names = [f.name for f in df.schema]
+    rows = keyed(df, **columns).select("_key", "_ord", F.struct(*[df[f"`{c}`"] for c in names]).alias("row"))
     winners = store.deliver(rows) if store else first_arrivals(rows)
     kept = rows.join(winners.select("_key", "_ord"), ["_key", "_ord"], "left_semi").dropDuplicates(["_key", "_ord"])
-    return kept.unionByName(rows.where("_key IS NULL")).select(*df.columns)
+    return kept.unionByName(rows.where("_key IS NULL")).select("row.*")

@@ -180,10 +180,10 @@ def _decode_block(pdf: pd.DataFrame) -> pd.DataFrame:
 def sessions(pings: DataFrame) -> DataFrame:
     """One ping per driver and time (smallest ping_id) with its session, named by the time it starts.
 
-    Rows without driver, time or position are left out. Works on slices, so that no driver's pings meet in one task.
+    Rows without driver, ping_id, time or position (or with an impossible one) are left out. Works on slices, so that no driver's pings meet in one task.
     """
     rows = pings.select("driver_id", "ping_id", F.col("event_timestamp").alias("at"), F.col("location.latitude").alias("latitude"), F.col("location.longitude").alias("longitude"))
-    rows = rows.where("driver_id IS NOT NULL AND at IS NOT NULL AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180")
+    rows = rows.where("driver_id IS NOT NULL AND ping_id IS NOT NULL AND at IS NOT NULL AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180")
     rows = rows.groupBy("driver_id", "at").agg(F.min("ping_id").alias("ping_id"), F.min_by("latitude", "ping_id").alias("latitude"), F.min_by("longitude", "ping_id").alias("longitude"))
     rows = sliced(rows, ["driver_id"], ["at"], "pings")
     ends = rows.groupBy("driver_id", "_slice").agg(F.max("at").alias("_last"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline.operators import dedupe, history, late, schema_drift, timestamps, trips
-from harborline.session import scratch_path, table
+from harborline.session import comparable, scratch_path, table
 
 
 def p1_found(spark, sf):
@@ -14,20 +14,28 @@ def p1_found(spark, sf):
     return found.where("utc_us IS NOT NULL").select("message_id", "field_name", "utc_us")
 
 
+def _facilities(spark, sf):
+    return history.facility_history(table(spark, sf, "facilities"), table(spark, sf, "facility_updates"))
+
+
+def _drivers(spark, sf):
+    return history.driver_history(table(spark, sf, "driver_updates"))
+
+
 def p4_facilities(spark, sf):
     """History of facilities."""
-    return history.facility_history(table(spark, sf, "facilities"), table(spark, sf, "facility_updates"))
+    return comparable(_facilities(spark, sf))
 
 
 def p4_drivers(spark, sf):
     """History of drivers."""
-    return history.driver_history(table(spark, sf, "driver_updates"))
+    return comparable(_drivers(spark, sf))
 
 
 def p4_found(spark, sf):
     """Each start of a version."""
     starts = lambda df, kind: df.select(F.lit(kind).alias("entity_kind"), F.col("entity").alias("entity_id"), F.unix_micros("valid_from").alias("valid_from_us"))
-    return starts(p4_facilities(spark, sf), "facility").unionByName(starts(p4_drivers(spark, sf), "driver"))
+    return starts(_facilities(spark, sf), "facility").unionByName(starts(_drivers(spark, sf), "driver"))
 
 
 def p5_segments(spark, sf):
@@ -71,12 +79,12 @@ def p3_found(spark, sf):
 
 def p3_revisions(spark, sf):
     """Every corrected count per facility and period."""
-    return late.revisions(_kept(spark, sf))
+    return comparable(late.revisions(_kept(spark, sf)))
 
 
 def p3_too_late(spark, sf):
     """Counts of what came beyond the cut-off."""
-    return late.beyond_cutoff(_kept(spark, sf))
+    return comparable(late.beyond_cutoff(_kept(spark, sf)))
 
 
 _RANKED = r"""
@@ -116,16 +124,16 @@ _DRIVERS = _history("driver_id", ["home_facility_id"], "driver_updates", "")
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
 QUERIES |= {f"p6_table_{t.replace('.', '_')}": p6_table(t) for t in _LANDED}
 ORACLE = {
-    "p4_facilities": _FACILITIES,
-    "p4_drivers": _DRIVERS,
+    "p4_facilities": f"SELECT * REPLACE (epoch_us(valid_from) AS valid_from, epoch_us(valid_to) AS valid_to) FROM ({_FACILITIES})",
+    "p4_drivers": f"SELECT * REPLACE (epoch_us(valid_from) AS valid_from, epoch_us(valid_to) AS valid_to) FROM ({_DRIVERS})",
     "p4_found": f"""SELECT 'facility' AS entity_kind, entity AS entity_id, epoch_us(valid_from) AS valid_from_us FROM ({_FACILITIES})
         UNION ALL SELECT 'driver', entity, epoch_us(valid_from) FROM ({_DRIVERS})""",
     "p7_found": f"SELECT message_id FROM ({_RANKED}) WHERE rn > 1",
     "p3_found": f"SELECT message_id, arrival FROM ({_CLASSIFIED}) WHERE arrival <> 'on_time'",
     "p3_revisions": f"""
         WITH cells AS (SELECT facility_id, p, greatest(p, a - a % 300000000) AS q, count(*) AS added FROM ({_CLASSIFIED}) WHERE arrival <> 'too_late' GROUP BY ALL)
-        SELECT facility_id, make_timestamptz(p) AS period_start, make_timestamptz(q) AS arrival_start, added,
+        SELECT facility_id, p AS period_start, q AS arrival_start, added,
                row_number() OVER w AS revision, CAST(sum(added) OVER w AS BIGINT) AS total
         FROM cells WINDOW w AS (PARTITION BY facility_id, p ORDER BY q ROWS UNBOUNDED PRECEDING)""",
-    "p3_too_late": f"SELECT facility_id, make_timestamptz(p) AS period_start, count(*) AS too_late FROM ({_CLASSIFIED}) WHERE arrival = 'too_late' GROUP BY ALL",
+    "p3_too_late": f"SELECT facility_id, p AS period_start, count(*) AS too_late FROM ({_CLASSIFIED}) WHERE arrival = 'too_late' GROUP BY ALL",
 }

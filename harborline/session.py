@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "harborline", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,6 +47,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def comparable(df: DataFrame) -> DataFrame:
+    """df with timestamps as microseconds since 1970 UTC, integers as long and fractions rounded to six digits."""
+    kinds = {"timestamp": lambda c: F.unix_micros(c), "int": lambda c: F.col(c).cast("long"), "double": lambda c: F.round(c, 6)}
+    return df.select(*[kinds[k](f"`{c}`").alias(c) if k in kinds else F.col(f"`{c}`") for c, k in df.dtypes])
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of df, from file sizes; needs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
