@@ -107,7 +107,7 @@ def passages(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, s
     """Removal spans: (doc_id, item_id, first_word, end_word, start_char, end_char), overlapping ones merged per item.
 
     Ends are exclusive; words count in the text without markup, chars in the text as given. Null, blank and short texts
-    and items give nothing; a document that occurs twice gives its spans twice. In a document longer
+    and items give nothing, nor do rows without an id; a document that occurs twice gives its spans twice. In a document longer
     than a shard, a passage across two pieces gives two spans that overlap. Items beyond BLOCK_BYTES are searched in blocks of that size.
     """
     items = materialize(items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text"), "items")
@@ -117,7 +117,7 @@ def passages(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, s
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
         found = phrases([(r.item_id, r.text) for r in block.collect()], least)
         run = _searcher(found, least, shard_words)
-        parts.append(documents.select("doc_id", "text").where("text IS NOT NULL").mapInPandas(run, "doc_id bigint, item_id bigint, first_word bigint, end_word bigint, start_char bigint, end_char bigint"))
+        parts.append(documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id bigint, item_id bigint, first_word bigint, end_word bigint, start_char bigint, end_char bigint"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -174,9 +174,9 @@ def _parse(batches):
 
 
 def texts(records: DataFrame) -> DataFrame:
-    """(record_id, field_name, text_no, text) of each text that isn't blank; text_no tells repeated record_ids apart."""
+    """(record_id, field_name, text_no, text) of each text that isn't blank; text_no tells repeated record_ids apart. Rows without a record_id have none."""
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("text")) for c in TEXTS])).alias("x")
-    rows = records.select("record_id", each).select("record_id", "x.*").where("text IS NOT NULL AND text RLIKE r'\\S'")
+    rows = records.select("record_id", each).select("record_id", "x.*").where("record_id IS NOT NULL AND text IS NOT NULL AND text RLIKE r'\\S'")
     return rows.withColumn("text_no", F.xxhash64("text"))
 
 

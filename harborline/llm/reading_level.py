@@ -162,7 +162,7 @@ def _featured(batches):
 
 def featured(documents: DataFrame) -> DataFrame:
     """(doc_id, x): the features of each document of English prose, over its whole text."""
-    return documents.select("doc_id", "text").where("text IS NOT NULL").mapInPandas(_featured, "doc_id bigint, x array<double>")
+    return documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(_featured, "doc_id bigint, x array<double>")
 
 
 def judged(labels: DataFrame) -> DataFrame:
@@ -173,28 +173,34 @@ def judged(labels: DataFrame) -> DataFrame:
     return votes.withColumns({"best": F.max("n").over(top), "total": F.sum("n").over(top)}).where("n = best AND 2 * n > total").select("doc_id", "band")
 
 
-def fitted(documents: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Ranker:
-    """A ranker fitted on at most `most` labelled documents, drawn by a hash of doc_id."""
+def fitted(documents: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Ranker | None:
+    """A ranker fitted on at most `most` labelled documents, drawn by a hash of doc_id; None without labels of two bands."""
     wanted = judged(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = materialize(featured(documents.join(F.broadcast(wanted.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(wanted), "doc_id"), "graded").collect()
     rows.sort(key=lambda r: r.doc_id)
+    if len({r.band for r in rows}) < 2:
+        return None
     return fit(np.array([r.x for r in rows]), np.array([BANDS.index(r.band) for r in rows]))
 
 
-def levels(documents: DataFrame, ranker: Ranker) -> DataFrame:
+def levels(documents: DataFrame, ranker: Ranker | None) -> DataFrame:
     """(doc_id, score, reading_band) of each document of English prose with at least LEAST_WORDS words.
 
-    Null, short and foreign texts and lists have no row; a document that occurs twice has two.
+    Null, short and foreign texts, lists and rows without an id have no row; a document that occurs twice has two. Without
+    a ranker the bands and scores are null.
     """
 
     def run(batches):
         for pdf in _featured(batches):
             x = np.array(pdf.x.tolist()).reshape(len(pdf), len(FEATURES))
+            if ranker is None:
+                yield pd.DataFrame({"doc_id": pdf.doc_id, "score": np.full(len(pdf), np.nan), "reading_band": [None] * len(pdf)})
+                continue
             yield pd.DataFrame({"doc_id": pdf.doc_id, "score": ranker.scores(x), "reading_band": [BANDS[k] for k in ranker.levels(x)]})
 
-    return documents.select("doc_id", "text").where("text IS NOT NULL").mapInPandas(run, "doc_id bigint, score double, reading_band string")
+    return documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id bigint, score double, reading_band string")
 
 
-def profile(documents: DataFrame, ranker: Ranker) -> DataFrame:
+def profile(documents: DataFrame, ranker: Ranker | None) -> DataFrame:
     """(source, reading_band, documents): how demanding each source is."""
     return levels(documents, ranker).join(documents.select("doc_id", "source"), "doc_id").groupBy("source", "reading_band").agg(F.count("*").alias("documents"))
