@@ -97,7 +97,7 @@ def mask_struct(schema: T.StructType, get: Column | None = None, key: bytes | No
         elif isinstance(f.dataType, T.StructType):
             masked = F.when(c.isNotNull(), F.struct(*mask_struct(f.dataType, c, key, exempt)))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
-            masked = F.transform(c, lambda x, t=f.dataType.elementType: F.struct(*mask_struct(t, x, key, exempt)))
+            masked = F.transform(c, _entered(f.dataType.elementType, key, exempt))
         elif isinstance(f.dataType, T.ArrayType):
             masked = c
         elif is_personal(f.name):
@@ -108,6 +108,10 @@ def mask_struct(schema: T.StructType, get: Column | None = None, key: bytes | No
     return out
 
 
+def _entered(element: T.StructType, key: bytes | None, exempt: set[str]):
+    return lambda x: F.struct(*mask_struct(element, x, key, exempt))
+
+
 def mask_payload(payload: Column, key: bytes | None = None, salt: str = "", remove: set[str] = frozenset(), exempt: set[str] = frozenset()) -> Column:
     """A JSON payload of unknown shape with its personal fields masked: one Arrow-batched function over the texts.
 

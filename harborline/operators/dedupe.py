@@ -143,8 +143,8 @@ def keep_first(df: DataFrame, store: SeenStore | None = None, **columns: str) ->
     Rows without an identifier are kept; rows without an ingest time come last, those without a row id last of a tie; of
     rows that repeat in full one is kept. Columns of any name come through as they are. With a store, events of earlier batches are dropped too.
     """
-    names = [f.name for f in df.schema]
-    rows = keyed(df, **columns).select("_key", "_ord", F.struct(*[df[f"`{c}`"] for c in names]).alias("row"))
+    named = {k: f"row.{columns.get(k, v)}" for k, v in (("event_type", "event_type"), ("event_id", "event_id"), ("ingest_time", "ingest_time"), ("row_id", "message_id"))}
+    rows = keyed(df.select(F.struct("*").alias("row")), **named)
     winners = store.deliver(rows) if store else first_arrivals(rows)
     kept = rows.join(winners.select("_key", "_ord"), ["_key", "_ord"], "left_semi").dropDuplicates(["_key", "_ord"])
     return kept.unionByName(rows.where("_key IS NULL")).select("row.*")
