@@ -91,22 +91,16 @@ def features(text: str) -> list[float]:
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps (score, value) of the increasing function closest to y, by pooling adjacent violators."""
+    """Corners (score, value) of the increasing function closest to y, by pooling adjacent violators; linear between pools."""
     order = np.argsort(x, kind="stable")
-    xs: list[float] = []
-    means: list[float] = []
-    counts: list[int] = []
+    pools: list[list[float]] = []  # first score, last score, mean, count
     for a, b in zip(x[order], y[order]):
-        xs.append(a)
-        means.append(float(b))
-        counts.append(1)
-        while len(means) > 1 and means[-2] >= means[-1]:
-            total = counts[-2] + counts[-1]
-            means[-2] = (means[-2] * counts[-2] + means[-1] * counts[-1]) / total
-            counts[-2] = total
-            xs[-2] = xs[-1]
-            xs.pop(), means.pop(), counts.pop()
-    return np.array(xs), np.array(means)
+        pools.append([a, a, float(b), 1])
+        while len(pools) > 1 and pools[-2][2] >= pools[-1][2]:
+            _, last, mean, n = pools.pop()
+            _, _, before, m = pools[-1]
+            pools[-1][1:] = [last, (before * m + mean * n) / (m + n), m + n]
+    return np.array([e for p in pools for e in p[:2]]), np.array([p[2] for p in pools for _ in range(2)])
 
 
 @dataclass
@@ -126,7 +120,7 @@ class Ranker:
         s = self.scores(x)
         out = np.zeros(len(s), int)
         for xs, means in self.steps:
-            out += means[np.minimum(np.searchsorted(xs, s), len(xs) - 1)] >= 0.5
+            out += np.interp(s, xs, means) >= 0.5
         return out
 
 
