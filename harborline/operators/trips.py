@@ -109,10 +109,14 @@ def decode(t, p) -> list[tuple[int, int]]:
 def hold(t, p, lo: int, hi: int, lower: int, upper: int) -> list[tuple[int, int]]:
     """A decoded stop against the definition: (first, last) of its pings within the radius of their centre.
 
-    Pings next to it that are within the radius belong to it; a run of pings elsewhere parts it in two.
+    Pings next to it that are within the radius belong to it; a step beyond the radius or a run of pings elsewhere parts it.
     """
     centre = np.median(p[lo : hi + 1], axis=0)
     near = np.hypot(*(p[lo : hi + 1] - centre).T) <= RADIUS_M
+    steps = np.hypot(*np.diff(p[lo : hi + 1], axis=0).T)
+    if len(steps) and (steps.max() > RADIUS_M or not near.any()):  # two places, whose joint centre says nothing
+        cut = lo + int(np.argmax(steps))
+        return [x for a, b in ((lo, cut), (cut + 1, hi)) if b > a and t[b] - t[a] >= LEAST_S for x in hold(t, p, a, b, lower if a == lo else a, upper if b == hi else b)]
     if not near.any():
         return []
     inside = np.flatnonzero(near) + lo
