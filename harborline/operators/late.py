@@ -8,16 +8,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from harborline.operators.dedupe import first_arrivals, keyed
-
 PERIOD_S, CUTOFF_S = 300, 86_400
 
 
+#: Problem 7's key and order of arrival, as SQL (see dedupe).
+_PLAIN = r"lower(regexp_replace(event_id, r'^\s+|\s+$', ''))"
+_BARE = rf"regexp_replace({_PLAIN}, r'^urn:uuid:|[{{}}()\-\s]', '')"
+_KEY = rf"concat(coalesce(lower(trim(event_type)), ''), ':', CASE WHEN {_BARE} RLIKE r'^[0-9a-f]{{32}}$' THEN {_BARE} ELSE {_PLAIN} END)"
+_FAR = 9_000_000_000_000_000_000
+
+
 def kept_events(df: DataFrame, row_id: str = "message_id") -> DataFrame:
     """The kept copy of each event, with only what the triangle needs; rows without an identifier stay."""
-    rows = keyed(df.select(row_id, "event_type", "event_id", "facility_id", "event_time", "ingest_time"), row_id=row_id).drop("event_type", "event_id")
-    kept = rows.join(first_arrivals(rows), ["_key", "_ord"], "left_semi").dropDuplicates(["_key", "_ord"])
-    return kept.unionByName(rows.where("_key IS NULL"))
+    spark = df.sparkSession
+    order = f"CAST(coalesce(unix_micros(ingest_time), {_FAR}) AS DECIMAL(19,0)) * CAST('1{'0' * 19}' AS DECIMAL(20,0)) + CAST(coalesce({row_id}, {_FAR}) AS DECIMAL(19,0))"
+    key = _KEY.replace("{", "{{").replace("}", "}}")  # braces are fields of a formatted statement
+    rows = spark.sql(f"SELECT {row_id}, facility_id, event_time, ingest_time, {key} AS _key, {order} AS _ord FROM {{df}}", df=df)
+    return spark.sql(
+        f"""
+        SELECT first({row_id}) AS {row_id}, first(facility_id) AS facility_id, first(event_time) AS event_time, first(ingest_time) AS ingest_time
+        FROM {{rows}} r LEFT SEMI JOIN (SELECT _key AS k, min(_ord) AS o FROM {{rows}} WHERE _key IS NOT NULL GROUP BY _key) ON _key = k AND _ord = o
+        GROUP BY _key, _ord
+        UNION ALL SELECT {row_id}, facility_id, event_time, ingest_time FROM {{rows}} WHERE _key IS NULL
+        """,
+        rows=rows,
+    )
 
 
 def classified(kept: DataFrame, period_s: int = PERIOD_S, cutoff_s: int = CUTOFF_S) -> DataFrame:
