@@ -161,6 +161,29 @@ def _(spark, sf):
     return route.dead_letters(invalid).select(a["event_id"].alias("event_id"), a["event_type"].alias("event_type"), a["validation_error_count"].alias("validation_error_count"))
 
 
+@query(
+    "q_model_constraints",
+    """SELECT day, field, count(*) AS n FROM (
+        SELECT CAST(event_timestamp AS DATE) AS day, unnest(list_filter([
+            CASE WHEN location.heading * 1.2 >= 360 THEN 'location.heading' END, CASE WHEN location.speed_mps - 1 < 0 THEN 'location.speed_mps' END,
+            CASE WHEN current_status = 'on_break' THEN 'current_status' END, CASE WHEN route_id IS NULL AND deliveries_remaining = 0 THEN 'root' END,
+            CASE WHEN distance_traveled_km + 0.25 <> floor(distance_traveled_km + 0.25) THEN 'deliveries_completed' END], lambda f: f IS NOT NULL)) AS field FROM driver_locations) GROUP BY ALL""",
+)
+def _(spark, sf):
+    from harborline import event_models
+
+    pings, place = table(spark, sf, "driver_locations"), F.col("location")
+    bent = F.struct(place["latitude"].alias("latitude"), place["longitude"].alias("longitude"), (place["heading"] * 1.2).alias("heading"), (place["speed_mps"] - 1).alias("speed_mps"))
+    missing = F.col("route_id").isNull() & (F.col("deliveries_remaining") == 0)
+    body = F.to_json(F.struct(
+        F.when(~missing, F.col("driver_id")).alias("driver_id"), bent.alias("location"), F.when(F.col("current_status") == "on_break", "asleep").otherwise(F.col("current_status")).alias("current_status"),
+        (F.col("distance_traveled_km") + 0.25).alias("deliveries_completed"),
+    ))
+    events = pings.select(F.to_date("event_timestamp").alias("day"), F.col("ping_id").cast("string").alias("event_id"), F.lit("driver.location_updated").alias("event_type"), F.lit("v1").alias("event_version"), body.alias("payload"))
+    errors = validate.validated(events, event_models.schemas("driver.location_updated")).select("day", F.explode("errors").alias("e")).where("e.error_code = 'SCHEMA_VIOLATION'")
+    return errors.groupBy("day", F.col("e.field").alias("field")).agg(F.count("*").alias("n"))
+
+
 # ---- duplicates, routes, dimensions ----------------------------------------------------------------------------------
 
 _ROW = "row_number() OVER (PARTITION BY event_type, event_id ORDER BY ingest_time)"

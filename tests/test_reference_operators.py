@@ -282,3 +282,24 @@ def test_batch_pipeline(spark):
 def test_per_batch_dedupe(spark):
     df = spark.createDataFrame([("a", NOW + dt.timedelta(1)), ("a", NOW), ("b", NOW)], "event_id string, ingest_time timestamp")
     assert sorted((r.event_id, r.ingest_time) for r in state.per_batch(df).collect()) == [("a", NOW), ("b", NOW)]
+
+
+def test_event_models():
+    from harborline import event_models
+
+    all_of = event_models.schemas()
+    assert set(all_of) == set(types.event_types()) - {"shipment.returned"}
+    started = all_of["delivery.started"]
+    assert "stop_number" in started["required"] and started["properties"]["stop_number"] == {"type": "integer", "minimum": 1}
+    place = started["definitions"]["location"]["properties"]
+    assert place["heading"] == {"type": ["number", "null"], "minimum": 0, "exclusiveMaximum": 360} and place["latitude"]["minimum"] == -90
+
+
+def test_model_of_an_event(spark):
+    from harborline import event_models
+
+    good = {"facility_id": "F", "current_units": 5, "max_capacity_units": 9, "utilization_percentage": 55.5, "previous_utilization_percentage": 0, "change_reason": None}
+    bad = good | {"current_units": -1, "utilization_percentage": 101, "is_critical": "yes"}
+    df = spark.createDataFrame([("1", "facility.capacity_changed", "v1", json.dumps(p)) for p in (good, bad)], "event_id string, event_type string, event_version string, payload string")
+    a, b = validate.validated(df, event_models.schemas("facility.capacity_changed", "driver.assigned")).collect()
+    assert a.errors == [] and sorted(e.field for e in b.errors) == ["current_units", "is_critical", "utilization_percentage"]
