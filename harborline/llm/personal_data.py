@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,9 +78,12 @@ NUMBER = re.compile(
 _LABELLED = re.compile(rf"(?i)(?<![\w'])(?:{_LABELS})\.?\s*[:#]?\s*$")
 _TITLE_SET, _FIRM_SET = set(_TITLES.split()), set(_FIRM.split())
 _TOKEN = re.compile(r"[^\W\d_][\w]*(?:['’][^\W\d_]\w+)*")
+#: What may stand between a name and the firm word behind it: no number and no end of a sentence.
+_FIRM_GAP = re.compile(r"(?!.*[.\n]\s)[^\W\d_\s&'’.-]*(?:[\s&'’.-]+[^\W\d_]*)*")
 _CONTEXT = re.compile(r"[^\W\d_][\w'’]*|\d+|[()+&/:;,.\n]")
 
 
+@lru_cache(maxsize=1 << 16)
 def fold(word: str) -> str:
     """A word without case, accents and apostrophes."""
     plain = unicodedata.normalize("NFKD", word.replace("ß", "ss"))
@@ -92,16 +98,27 @@ def shape(number: str) -> str:
     return re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", kept))
 
 
-def _around(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
-    left = [w.lower() for w in _CONTEXT.findall(text[max(0, start - 48) : start])]
-    right = [w.lower() for w in _CONTEXT.findall(text[end : end + 32])]
-    return left, right
+class _Words:
+    """Words, numbers and signs of a text in lower case, to be had on either side of a place."""
+
+    def __init__(self, text: str):
+        found = [(m.start(), m.end(), m[0].lower()) for m in _CONTEXT.finditer(text)]
+        self.starts, self.ends, self.words = ([f[k] for f in found] for k in range(3))
+
+    def before(self, at: int, n: int = 2) -> list[str]:
+        k = bisect_left(self.starts, at)
+        return self.words[max(0, k - n) : k]
+
+    def after(self, at: int, n: int = 2) -> list[str]:
+        k = bisect_left(self.starts, at)
+        return self.words[k : k + n]
 
 
 def mentions(text: str) -> list[tuple]:
     """(kind, start, end, instance, patterns, seed, gap) of a text in order; gap is the text since the name word before."""
     taken: list[tuple[int, int]] = []
     out = []
+    around = _Words(text)
 
     def free(a: int, b: int) -> bool:
         return all(b <= x or a >= y for x, y in taken)
@@ -116,48 +133,46 @@ def mentions(text: str) -> list[tuple]:
         taken.append(m.span())
     for m in ADDRESS.finditer(text):
         if free(*m.span()):
-            left, _ = _around(text, *m.span())
             taken.append(m.span())
-            out.append(("address", *m.span(), "street", ["L2 " + " ".join(left[-2:])], "STREET_ADDRESS", ""))
+            out.append(("address", *m.span(), "street", ["L2 " + " ".join(around.before(m.start()))], "STREET_ADDRESS", ""))
     for m in UNSEEN_ADDRESS.finditer(text):
         if free(*m.span()) and not (set(re.findall(r"[a-z]+", m[0].lower())) & (_STOP | set(_UNIT.split()))):
-            left, _ = _around(text, *m.span())
             word = max(re.findall(r"[^\W\d_]+", m[0]), key=len).lower()
-            out.append(("address", *m.span(), "word " + word[-4:], ["L2 " + " ".join(left[-2:])], "", ""))
+            out.append(("address", *m.span(), "word " + word[-4:], ["L2 " + " ".join(around.before(m.start()))], "", ""))
     for m in NUMBER.finditer(text):
         a, b = m.span()
         digits = sum(c.isdigit() for c in m[0])
         if not free(a, b) or (digits < 6 and not m[0][0].isalpha()):
             continue
-        left, right = _around(text, a, b)
         s = shape(m[0])
-        labelled = _LABELLED.search(text[max(0, a - 40) : a])
+        labelled = _LABELLED.search(text, max(0, a - 40), a)
         seed = "ID_NUMBER" if labelled else "PHONE" if s.startswith(("+", "tel:")) and 9 <= digits <= 15 else ""
-        if labelled:
-            left = [w.lower() for w in _CONTEXT.findall(text[max(0, a - 40) : a][: labelled.start()])]
+        left, right = around.before(labelled.start() if labelled else a), around.after(b)
         taken.append((a, b))
-        out.append(("number", a, b, s, ["L2 " + " ".join(left[-2:]), f"L1R1 {(left or [''])[-1]} _ {(right or [''])[0]}"], seed, ""))
+        out.append(("number", a, b, s, ["L2 " + " ".join(left), f"L1R1 {(left or [''])[-1]} _ {(right or [''])[0]}"], seed, ""))
     last = 0
     tokens = [m for m in _TOKEN.finditer(text) if free(*m.span())]
+    lower = [m[0].lower() for m in tokens]
+    any_firm = not _FIRM_SET.isdisjoint(lower)
     for k, m in enumerate(tokens):
         a, b = m.span()
-        word = re.sub(r"['’]s$", "", m[0])
+        word = m[0][:-2] if m[0][-2:] in ("'s", "’s", "'S", "’S") else m[0]
         if len(word) < 2:
             continue
-        follows = [t[0].lower() for t in tokens[k + 1 : k + 4]]
         firm = False
-        for j, w in enumerate(follows):
-            if not re.fullmatch(r"[\s&\w'’.-]*", text[b : tokens[k + 1 + j].start()]) or re.search(r"[.\n]\s|\d", text[b : tokens[k + 1 + j].start()]):
+        for j in range(k + 1, min(k + 4, len(tokens))) if any_firm else ():
+            if not _FIRM_GAP.fullmatch(text, b, tokens[j].start()):
                 break
-            if w in _FIRM_SET:
-                firm = j < 2 and (tokens[k + 1 + j][0][0].isupper() or m[0].islower())
+            if lower[j] in _FIRM_SET:
+                firm = j - k <= 2 and (tokens[j][0][0].isupper() or m[0].islower())
                 break
-            if j and w.islower() and w in _STOP:
+            if j > k + 1 and lower[j] == tokens[j][0] and lower[j] in _STOP:
                 break
-        left, right = _around(text, a, b)
-        previous = [w for w in left if w not in "().,"][-1:]
-        seed = "name" if previous and previous[0] in _TITLE_SET else ""
-        patterns = [] if firm else ["L2 " + " ".join(left[-2:]), "R2 " + " ".join(right[:2]), "L1R1 " + f"{(left or [''])[-1]} _ {(right or [''])[0]}"]
+        left, right = around.before(a, 3), around.after(b)
+        previous = [w for w in left if w not in "().,"]
+        left = left[-2:]
+        seed = "name" if previous and previous[-1] in _TITLE_SET else ""
+        patterns = [] if firm else ["L2 " + " ".join(left), "R2 " + " ".join(right), f"L1R1 {(left or [''])[-1]} _ {(right or [''])[0]}"]
         out.append(("firm" if firm else "name", a, b, fold(word), patterns, seed, text[last:a]))
         last = b
     out += [("seed", 0, 0, n, [], "name", "") for n in names]
@@ -167,10 +182,20 @@ def mentions(text: str) -> list[tuple]:
 _MENTION = "record_id bigint, field_name string, text_no bigint, kind string, first int, last int, instance string, patterns array<string>, seed string, gap string"
 
 
+_ARROW = pa.schema([
+    ("record_id", pa.int64()), ("field_name", pa.string()), ("text_no", pa.int64()), ("kind", pa.string()), ("first", pa.int32()), ("last", pa.int32()),
+    ("instance", pa.string()), ("patterns", pa.list_(pa.string())), ("seed", pa.string()), ("gap", pa.string()),
+])
+
+
 def _parse(batches):
-    for pdf in batches:
-        rows = [(r, f, n, *m) for r, f, n, t in zip(pdf.record_id, pdf.field_name, pdf.text_no, pdf.text) for m in mentions(t)]
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _MENTION.split(", ")])
+    for batch in batches:
+        columns: list[list] = [[] for _ in _ARROW]
+        for key in zip(*(batch.column(c).to_pylist() for c in ("record_id", "field_name", "text_no", "text"))):
+            for m in mentions(key[3]):
+                for c, v in zip(columns, (*key[:3], *m)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
 def texts(records: DataFrame) -> DataFrame:
@@ -263,7 +288,7 @@ def items(records: DataFrame) -> DataFrame:
     already has are no items. What is gathered per text is bounded by the text.
     """
     put = F.pandas_udf(_put_together, "array<struct<pii_type: string, item_no: int, first: int, last: int>>")
-    found = materialize(texts(records).mapInPandas(_parse, _MENTION), "mentions")
+    found = materialize(texts(records).mapInArrow(_parse, _MENTION), "mentions")
     known = bootstrap(found)
     here = found.where("kind <> 'seed'").select("record_id", "field_name", "text_no", "kind", "first", "last", "instance", "gap", F.concat_ws(" ", "kind", "instance").alias("key"))
     typed = lookup(here, known, "key", "record_id")
