@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,8 @@ _SUBORDINATE = set("because although though if when whenever unless until while
 _COORDINATE = {"and", "but", "so", "or"}
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
+_VOWELS = re.compile("[aeiouy]+")
+_CODED = re.compile(r"\d|.;.")
 _MARK = re.compile(r"(?m)^[ \t>]*(?:[-*•]+|\[\d+\]|#+|\d+[.)])[ \t]+|https?://\S+|<[^<>]{1,40}>")
 _SENTENCE = re.compile(r"(?<=[.!?;])\s+|\n\s*\n|\n(?=\s*[-*•\[#A-Z])")
 FEATURES = [
@@ -45,23 +49,30 @@ def sentences(text: str) -> list[list[str]]:
     return [w for w in parts if w]
 
 
-def _syllables(word: str) -> int:
-    return max(1, len(re.findall(r"[aeiouy]+", word)) - (word.endswith("e") and not word.endswith("le")))
+_ABSTRACT = ("tion", "tions", "ity", "ment", "ments", "ance", "ence", "ism")
+
+
+@lru_cache(maxsize=1 << 17)
+def _word(word: str) -> tuple[int, int, int, int, int, int]:
+    """Letters, syllables, and whether a lower-case word is a function, joining, subordinating or abstract one."""
+    syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
+    return len(word), syllables, word in _ENGLISH, word in _COORDINATE, word in _SUBORDINATE, word.endswith(_ABSTRACT)
 
 
 def is_english_prose(text: str | None, least: int = LEAST_WORDS) -> bool:
     """Whether a text has `least` words and reads as English sentences rather than another language or a list of codes."""
     if not text:
         return False
-    tokens = [t for t in text.split() if any(c.isalnum() for c in t)]
+    tokens = [t for t in text.split() if t.isalpha() or any(c.isalnum() for c in t)]
     if len(tokens) < least:
         return False
-    found = [w.lower() for w in _WORD.findall(text)]
-    if len(found) < 0.7 * len(tokens):
+    found = Counter(_WORD.findall(text.lower()))
+    n = found.total()
+    if n < 0.7 * len(tokens):
         return False
-    english = sum(w in _ENGLISH for w in found) / len(found)
-    other = max(sum(w in s for w in found) for s in _OTHERS) / len(found)
-    coded = sum(any(c.isdigit() for c in t) or ";" in t[1:-1] for t in tokens) / len(tokens)
+    share = lambda words: sum(k for w, k in found.items() if w in words) / n
+    english, other = share(_ENGLISH), max(share(s) for s in _OTHERS)
+    coded = sum(not t.isalpha() and _CODED.search(t) is not None for t in tokens) / len(tokens)
     return english >= 0.1 and english > 1.3 * other and coded < 0.4
 
 
@@ -70,8 +81,9 @@ def features(text: str) -> list[float]:
     parts = sentences(text)
     sizes = np.array([len(s) for s in parts], float)
     every = [w.lower() for s in parts for w in s]
-    letters = np.array([len(w) for w in every], float)
-    syllables = np.array([_syllables(w) for w in every], float)
+    known = np.array([_word(w) for w in every], float)
+    letters, syllables = known[:, 0], known[:, 1]
+    functional, joining, subordinating, abstract = known[:, 2:].sum(0).tolist()
     cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)[:-1]
     part_letters = np.add.reduceat(letters, cuts) / sizes
     part_syllables = np.add.reduceat(syllables, cuts) / sizes
@@ -84,9 +96,9 @@ def features(text: str) -> list[float]:
     weight = sizes / sizes.sum()
     return [
         sizes.mean(), np.log(sizes.mean()), np.log((sizes * weight).sum()), letters.mean(), (letters >= 7).mean(), (letters >= 11).mean(), (letters <= 3).mean(), syllables.mean(), (syllables >= 4).mean(),
-        sum(w in _ENGLISH for w in every) / n, sum(w in _COORDINATE for w in every) / k, sum(w in _SUBORDINATE for w in every) / k, text.count(",") / k, len(set(every)) / np.sqrt(n),
+        functional / n, joining / k, subordinating / k, text.count(",") / k, len(set(every)) / np.sqrt(n),
         (grade * weight).sum(), at(grade, 0.25), at(grade, 0.5), at(grade, 0.75), (weight * (part_letters >= 6.2)).sum(), (weight * ((part_letters < 4.4) & (sizes < 14))).sum(),
-        by(part_letters, 0.5), min(by(sizes, 0.5), 60), sum(w.endswith(("tion", "tions", "ity", "ment", "ments", "ance", "ence", "ism")) for w in every) / n, letters.mean() * np.log(sizes.mean() + 1),
+        by(part_letters, 0.5), min(by(sizes, 0.5), 60), abstract / n, letters.mean() * np.log(sizes.mean() + 1),
     ]
 
 
