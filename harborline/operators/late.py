@@ -12,8 +12,9 @@ PERIOD_S, CUTOFF_S = 300, 86_400
 
 
 #: Problem 7's key and order of arrival, as SQL (see dedupe).
-_PLAIN = r"lower(regexp_replace(event_id, r'^\s+|\s+$', ''))"
-_BARE = rf"regexp_replace({_PLAIN}, r'^urn:uuid:|[{{}}()\-\s]', '')"
+_BLANKS = " \\t\\r\\n\\u000c\\u000b\\u00a0"
+_PLAIN = f"lower(btrim(event_id, '{_BLANKS}'))"
+_BARE = f"translate(replace({_PLAIN}, 'urn:uuid:', ''), '{{}}()-{_BLANKS}', '')"
 _KEY = rf"concat(coalesce(lower(trim(event_type)), ''), ':', CASE WHEN {_BARE} RLIKE r'^[0-9a-f]{{32}}$' THEN {_BARE} ELSE {_PLAIN} END)"
 _FAR = 9_000_000_000_000_000_000
 
