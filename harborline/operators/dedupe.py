@@ -20,13 +20,14 @@ from harborline.session import plan_bytes
 BUCKET_BITS = 32768
 #: Input bytes that one shard of a new store is meant for.
 SHARD_BYTES = 64 << 20
+_BLANKS = " \t\r\n\f\v\u00a0"
 _FAR = 9_000_000_000_000_000_000
 
 
 def canonical_id(c: Column) -> Column:
     """One spelling of an identifier: UUIDs as 32 lower-case hex digits, anything else trimmed and lower-cased."""
-    plain = F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
-    bare = F.regexp_replace(plain, r"^urn:uuid:|[{}()\-\s]", "")
+    plain = F.lower(F.btrim(c, F.lit(_BLANKS)))
+    bare = F.translate(F.replace(plain, F.lit("urn:uuid:"), F.lit("")), "{}()-" + _BLANKS, "")
     return F.when(bare.rlike("^[0-9a-f]{32}$"), bare).otherwise(plain)
 
 
