@@ -497,9 +497,9 @@ def _(spark, sf):
     return operations.facility_metrics(views.deliveries(spark, sf))
 
 
-@query("q_facility_daily_summary", f"SELECT facility_id, delivery_date, {_METRICS} FROM ({DELIVERIES}) WHERE facility_id = 'FAC-1' AND delivery_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' GROUP BY ALL")
+@query("q_facility_daily_summary", f"SELECT facility_id, delivery_date, {_METRICS} FROM ({DELIVERIES}) WHERE delivery_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' GROUP BY ALL")
 def _(spark, sf):
-    return operations.facility_metrics(views.deliveries(spark, sf), "FAC-1", "1995-01-01", "1996-12-31")
+    return operations.facility_metrics(views.deliveries(spark, sf), first="1995-01-01", last="1996-12-31")
 
 
 @query("q_platform_daily", f"SELECT delivery_date, count(DISTINCT shipment_id) AS shipments, {_METRICS} FROM ({DELIVERIES}) GROUP BY ALL")
