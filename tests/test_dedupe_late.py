@@ -82,3 +82,10 @@ def test_late_classes_and_revisions(spark):
     assert [(r.revision, r.added, r.total) for r in revisions] == [(1, 2, 2), (2, 1, 3), (3, 1, 4)]
     assert late.beyond_cutoff(kept).first().too_late == 1
     assert late.revisions(kept.limit(0)).count() == 0
+
+
+def test_late_knows_every_spelling(spark):
+    ids = [U, " {" + U.upper() + "}\t", U.replace("-", ""), "urn:uuid:" + U, "feed fff", "FEED FFF ", "eed"]
+    df = spark.createDataFrame([(n, "a.b", e, at(n + 1), "F", at(0)) for n, e in enumerate(ids)], "message_id bigint, event_type string, event_id string, ingest_time timestamp, facility_id string, event_time timestamp")
+    kept = sorted(r.message_id for r in late.kept_events(df).collect())
+    assert kept == [0, 4, 6] == sorted(r.message_id for r in dedupe.keep_first(df).collect())
