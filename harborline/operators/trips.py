@@ -45,6 +45,12 @@ def metres(lat, lon):
     return np.column_stack([east * METRES * np.cos(np.radians(lat0)), (lat - lat0) * METRES])
 
 
+def steps(lat, lon):
+    """Length of each step in metres, at the step's own latitude: the same in whatever block it is measured."""
+    east = (np.diff(lon) + 180.0) % 360.0 - 180.0
+    return METRES * np.hypot(east * np.cos(np.radians((lat[1:] + lat[:-1]) / 2)), np.diff(lat))
+
+
 def gate(t, p) -> np.ndarray:
     """Which pings aren't strays: a stray is a detour that neither its forerunner nor its follower is near to."""
     n = len(t)
@@ -159,10 +165,16 @@ def stops_of(t, p) -> list[tuple[int, int]]:
     return out
 
 
-_PIECE = "driver_id string, session timestamp, block long, first_ping_id long, last_ping_id long, started_us long, ended_us long, latitude double, longitude double, path_m double, open_left boolean, open_right boolean, before_m double, after_m double"
+_PIECE = "driver_id string, session timestamp, block long, first_ping_id long, last_ping_id long, started_us long, ended_us long, latitude double, longitude double, from_m double, to_m double, open_left boolean, open_right boolean, core struct<lat0: double, lon0: double, lat1: double, lon1: double, m: double>"
+
+_COLUMNS = "driver_id session block first_ping_id last_ping_id started_us ended_us latitude longitude from_m to_m open_left open_right core".split()
 
 
 def _decode_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A row without pings for the block itself, with the ends and the path of its core, and one per stop in the core.
+
+    What is measured along the path counts from the first ping of the core; the context is for decoding alone.
+    """
     driver, session, block = pdf.driver_id.iloc[0], pdf.session.iloc[0], int(pdf.block.iloc[0])
     pdf = pdf.sort_values("us")
     t, lat, lon, ids = pdf.us.to_numpy() / 1e6, pdf.latitude.to_numpy(), pdf.longitude.to_numpy(), pdf.ping_id.to_numpy()
@@ -172,13 +184,15 @@ def _decode_block(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     if core.any():
         p = metres(lat, lon)
-        steps = np.concatenate([[0], np.cumsum(np.hypot(*np.diff(p, axis=0).T))]) if len(t) > 1 else np.zeros(1)
+        path = np.concatenate([[0], np.cumsum(steps(lat, lon))])
         lo, hi = int(np.argmax(core)), len(core) - 1 - int(np.argmax(core[::-1]))
+        path -= path[lo]
+        rows.append((driver, session, block, *[None] * 10, {"lat0": lat[lo], "lon0": lon[lo], "lat1": lat[hi], "lon1": lon[hi], "m": path[hi]}))
         for a, b in stops_of(t, p):
             x, y = max(a, lo), min(b, hi)
             if x <= y:
-                rows.append((driver, session, block, ids[x], ids[y], int(round(t[x] * 1e6)), int(round(t[y] * 1e6)), float(np.median(lat[x : y + 1])), float(np.median(lon[x : y + 1])), float(steps[y] - steps[x]), bool(a < lo), bool(b > hi), float(steps[x]), float(steps[-1] - steps[y])))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECE.split(", ")])
+                rows.append((driver, session, block, ids[x], ids[y], int(round(t[x] * 1e6)), int(round(t[y] * 1e6)), float(np.median(lat[x : y + 1])), float(np.median(lon[x : y + 1])), float(path[x]), float(path[y]), bool(a < lo), bool(b > hi), None))
+    return pd.DataFrame(rows, columns=_COLUMNS, dtype=object)
 
 
 def sessions(pings: DataFrame) -> DataFrame:
@@ -203,7 +217,7 @@ def sessions(pings: DataFrame) -> DataFrame:
 
 
 def stops(pings: DataFrame) -> DataFrame:
-    """Every stop: driver_id, session, first and last ping, start, end, centre and the path walked in it.
+    """Every stop: driver_id, session, first and last ping, start, end, centre and the session's path up to its first and last ping.
 
     An empty table, or one without a usable ping, gives no rows.
     """
@@ -215,14 +229,20 @@ def stops(pings: DataFrame) -> DataFrame:
         F.explode(F.array_compact(F.array(F.col("own_block"), F.when((into < MARGIN_S * 1_000_000) & (own > 0), own - 1), F.when(into >= (BLOCK_S - MARGIN_S) * 1_000_000, own + 1)))),
     )
     pieces = rows.select("driver_id", "session", "block", "own_block", "us", "ping_id", "latitude", "longitude").groupBy("driver_id", "session", "block").applyInPandas(_decode_block, _PIECE)
+    # path of the session up to each block: the cores before it and the steps between them; a block's own row comes before its stops
+    order = Window.partitionBy("driver_id", "session").orderBy("block", F.asc_nulls_first("started_us"))
+    pieces = pieces.withColumn("_last", F.last("core", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    east = F.pmod(F.col("core.lon0") - F.col("_last.lon1") + 180.0, F.lit(360.0)) - 180.0
+    step = METRES * F.hypot(east * F.cos(F.radians((F.col("core.lat0") + F.col("_last.lat1")) / 2)), F.col("core.lat0") - F.col("_last.lat1"))
+    base = F.sum(F.coalesce(F.col("_last.m") + step, F.lit(0.0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    pieces = pieces.withColumn("_base", base).where("first_ping_id IS NOT NULL")
     # pieces that a block's end parts are one stop again
-    order = Window.partitionBy("driver_id", "session").orderBy("started_us")
     joined = F.coalesce(F.col("open_left") & F.lag("open_right").over(order), F.lit(False))
     pieces = pieces.withColumn("_stop", F.sum(F.when(joined, 0).otherwise(1)).over(order))
     whole = pieces.groupBy("driver_id", "session", "_stop").agg(
         F.min_by("first_ping_id", "started_us").alias("first_ping_id"), F.max_by("last_ping_id", "started_us").alias("last_ping_id"),
         F.min("started_us").alias("started_us"), F.max("ended_us").alias("ended_us"), F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"),
-        F.sum("path_m").alias("path_m"), F.min_by(F.struct("block", "before_m"), "started_us").alias("entered"), F.max_by(F.struct("block", "before_m", "path_m", "after_m"), "started_us").alias("left"),
+        F.min(F.col("_base") + F.col("from_m")).alias("from_m"), F.max(F.col("_base") + F.col("to_m")).alias("to_m"),
     )
     return whole.where(F.col("ended_us") - F.col("started_us") >= int(LEAST_S * 1e6)).drop("_stop")
 
@@ -231,16 +251,14 @@ def segments(pings: DataFrame) -> DataFrame:
     """Stops and trips: driver_id, segment_kind, first_ping_id, last_ping_id, started, ended, duration_s, distance_m.
 
     A trip leads from the last ping of a stop to the first ping of the next one in the same session. Distances are path
-    totals over pings that aren't strays; for a trip beyond one block, of which no block sees the whole path, the path
-    within the blocks at its ends.
+    totals over pings that aren't strays, summed over the blocks that a stop or trip reaches through.
     """
     order = Window.partitionBy("driver_id", "session").orderBy("started_us")
     found = stops(pings)
     after = lambda c: F.lead(c).over(order)
-    found = found.withColumns({"_ping": after("first_ping_id"), "_at": after("started_us"), "_in": after("entered")})
-    stop = F.struct(F.lit("stop").alias("segment_kind"), "first_ping_id", "last_ping_id", "started_us", "ended_us", F.col("path_m").alias("distance_m"))
-    within = F.when(F.col("left.block") == F.col("_in.block"), F.col("_in.before_m") - F.col("left.before_m") - F.col("left.path_m")).otherwise(F.col("left.after_m") + F.col("_in.before_m"))
-    trip = F.when(F.col("_ping").isNotNull(), F.struct(F.lit("trip").alias("segment_kind"), F.col("last_ping_id").alias("first_ping_id"), F.col("_ping").alias("last_ping_id"), F.col("ended_us").alias("started_us"), F.col("_at").alias("ended_us"), within.alias("distance_m")))
+    found = found.withColumns({"_ping": after("first_ping_id"), "_at": after("started_us"), "_m": after("from_m")})
+    stop = F.struct(F.lit("stop").alias("segment_kind"), "first_ping_id", "last_ping_id", "started_us", "ended_us", (F.col("to_m") - F.col("from_m")).alias("distance_m"))
+    trip = F.when(F.col("_ping").isNotNull(), F.struct(F.lit("trip").alias("segment_kind"), F.col("last_ping_id").alias("first_ping_id"), F.col("_ping").alias("last_ping_id"), F.col("ended_us").alias("started_us"), F.col("_at").alias("ended_us"), (F.col("_m") - F.col("to_m")).alias("distance_m")))
     rows = found.select("driver_id", F.explode(F.array_compact(F.array(stop, trip))).alias("x")).select("driver_id", "x.*")
     return rows.select(
         "driver_id", "segment_kind", "first_ping_id", "last_ping_id", F.timestamp_micros("started_us").alias("started"), F.timestamp_micros("ended_us").alias("ended"),

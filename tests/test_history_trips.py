@@ -113,6 +113,20 @@ def test_blocks_of_a_device_that_is_never_silent(spark, monkeypatch):
     assert segments(spark, points) == whole and len(whole) == 13
 
 
+def test_distances_over_blocks(spark, monkeypatch):
+    # stops and trips over two and more blocks, one of which no block sees in whole: each has the path between its pings
+    points = track([("stop", 3000, 60), ("go", 6000, 9, 30), ("stop", 6000, 60), ("go", 60_000, 9, 30), ("stop", 3000, 60)])
+    rows = [(n, "D", {"latitude": 50 + y / trips.METRES, "longitude": 8 + x / (trips.METRES * math.cos(math.radians(50)))}, dt.datetime(2025, 1, 1) + dt.timedelta(seconds=t), "c", 0) for n, (t, x, y) in enumerate(points)]
+    path = np.concatenate([[0], np.cumsum(np.hypot(*np.diff(np.array(points)[:, 1:], axis=0).T))])
+    for block in (trips.BLOCK_S, 5_000, 1_500):
+        monkeypatch.setattr(trips, "BLOCK_S", block)
+        monkeypatch.setattr(trips, "MARGIN_S", min(block, 4_000))
+        got = trips.segments(spark.createDataFrame(rows, P)).orderBy("started", "ended").collect()
+        assert [r.segment_kind for r in got] == ["stop", "trip", "stop", "trip", "stop"]
+        for r in got:
+            assert r.distance_m == pytest.approx(path[r.last_ping_id] - path[r.first_ping_id], rel=1e-3)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_durations_beyond_the_explicit_ones(seed, monkeypatch):
     monkeypatch.setattr(trips, "EXPLICIT", 30)
