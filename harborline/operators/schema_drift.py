@@ -23,7 +23,9 @@ from harborline.operators.lookup import lookup
 from harborline.session import materialize
 
 #: Hash buckets for shapes and for words in a content histogram, which bound its size.
-SHAPES, WORDS = 64, 64
+SHAPES, WORDS = 64, 4096
+#: Weight of a text's kinds of characters beside its values: a share, and a few records as long as values are too rare to tell.
+LIGHT, FEW = 0.22, 2.0
 #: Least content similarity and least final score of a correspondence between different paths.
 LEAST_CONTENT, LEAST_SCORE = 0.55, 0.5
 NAME_WEIGHT, ROUNDS, EPSILON = 0.35, 50, 1e-4
@@ -72,7 +74,8 @@ def tokens(v):
         lead = re.match(r"[A-Za-z]*", v)[0]
         if shape:
             return [f"s{zlib.crc32(shape.encode()) % SHAPES}", f"l{zlib.crc32(lead.encode()) % WORDS}"]
-        return [f"w{zlib.crc32(v.encode()) % WORDS}", "word"]
+        kinds = sorted({"A" if c.isupper() else "a" if c.isalpha() else " " if c.isspace() else "." for c in v})
+        return [f"w{zlib.crc32(v.encode()) % WORDS}", f"k{''.join(kinds)}"]
     if isinstance(v, list):
         return [f"a{t}" for x in v[:4] for t in tokens(x)] or ["a"]
     return []
@@ -119,6 +122,13 @@ def _cosine(a: dict, b: dict) -> float:
     return dot / math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
 
 
+def _common(a: dict, b: dict) -> float:
+    """Share of two fields' texts whose value the other field has too; 0 for other values, whatever they look like."""
+    words = [{t: n for t, n in x.items() if t.lstrip("a").startswith("w")} for x in (a, b)]
+    shares = [sum(n for t, n in x.items() if t in y) / max(sum(x.values()), 1) for x, y in (words, words[::-1])]
+    return sum(shares) / 2
+
+
 class Schema:
     """Fields of one file: kinds and tokens by path; inner keys of fields that are (or were) plain values are left out."""
 
@@ -132,7 +142,7 @@ class Schema:
             if owner is None and not t:
                 self.kinds[p].add(k)
             if t:
-                self.tokens[owner or p][t] += n
+                self.tokens[owner or p][t] += LIGHT * n + FEW if t.lstrip("a").startswith("k") else n
         parents = {p.rpartition(".")[0] for p in self.kinds}
         self.fields = {p for p, k in self.kinds.items() if p in leafy or k - {"object", "null"} or p not in parents}
         self.nodes = sorted(self.kinds)
@@ -184,7 +194,8 @@ def compare(old: Schema, new: Schema) -> list[tuple[str, str, str]]:
                     # flags and other contents of a few values say little: the names must agree as well
                     if old.types(p) == {"boolean"} and name < 0.2:
                         continue
-                    combined = (1 - NAME_WEIGHT) * c + NAME_WEIGHT * name + 0.1 * s
+                    # texts of common values are the same whatever their names
+                    combined = max((1 - NAME_WEIGHT) * c + NAME_WEIGHT * name, _common(old.tokens.get(p, {}), new.tokens.get(q, {}))) + 0.1 * s
                     if combined >= LEAST_SCORE:
                         pairs.append((combined, p, q))
         used: set[str] = set()

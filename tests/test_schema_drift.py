@@ -46,6 +46,17 @@ def test_unlike_content_is_no_rename(spark):
     assert got == [(2, "added", "b", ""), (2, "removed", "a", "")]
 
 
+def test_word_fields_of_other_values_are_no_rename(spark):
+    few = found(spark, {1: make(30, lambda r: {"colour": r.choice(["red", "green", "blue", "grey", "black"]), "k": 1}), 2: make(30, lambda r: {"state": r.choice(["open", "shut", "broken", "sold", "lost"]), "k": 1})})
+    assert few == [(2, "added", "state", ""), (2, "removed", "colour", "")]
+    word = lambda r, letters: "".join(r.choice(letters) for _ in range(6))
+    many = found(spark, {1: make(200, lambda r: {"colour": word(r, "abcdefgh"), "k": 1}), 2: make(200, lambda r: {"state": word(r, "QRSTUVWX"), "k": 1})})
+    assert many == [(2, "added", "state", ""), (2, "removed", "colour", "")]
+    # the same values, or so few that they say little, under a like name
+    assert found(spark, {1: make(30, lambda r: {"fault": r.choice(["jam", "fire"]), "k": 1}), 2: make(30, lambda r: {"event": r.choice(["jam", "fire"]), "k": 1})}) == [(2, "renamed", "fault", "event")]
+    assert found(spark, {1: [{"work_state": "open", "k": 1}], 2: [{"workState": "shut", "k": 1}]}) == [(2, "renamed", "work_state", "workState")]
+
+
 def test_unreadable_nulls_and_gaps(spark):
     cut = ['{"shipment_id": "SHP', None, "", "[1]", "3"]
     assert found(spark, {1: make(20, base) + cut, 2: cut + make(20, base), 4: make(20, lambda r: {"x": 1})}) == []
