@@ -77,7 +77,7 @@ def tokens(v):
         kinds = sorted({"A" if c.isupper() else "a" if c.isalpha() else " " if c.isspace() else "." for c in v})
         return [f"w{zlib.crc32(v.encode()) % WORDS}", f"k{''.join(kinds)}"]
     if isinstance(v, list):
-        return [f"a{t}" for x in v[:4] for t in tokens(x)] or ["a"]
+        return [f"a{t}" for x in v for t in tokens(x)] or ["a"]
     return []
 
 

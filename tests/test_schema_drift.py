@@ -57,6 +57,13 @@ def test_word_fields_of_other_values_are_no_rename(spark):
     assert found(spark, {1: [{"work_state": "open", "k": 1}], 2: [{"workState": "shut", "k": 1}]}) == [(2, "renamed", "work_state", "workState")]
 
 
+def test_arrays_count_all_their_elements(spark):
+    same = ["a", "b", "c", "d"]
+    got = found(spark, {1: make(30, lambda r: {"marks": [*same, *range(10, 20)], "k": 1}), 2: make(30, lambda r: {"notes": [*same, *(x / 7 for x in range(-9, 9))], "k": 1})})
+    assert got == [(2, "added", "notes", ""), (2, "removed", "marks", "")]
+    assert len(schema_drift.tokens([*same, "e", 1])) == len(schema_drift.tokens(same)) + len(schema_drift.tokens("e")) + len(schema_drift.tokens(1))
+
+
 def test_unreadable_nulls_and_gaps(spark):
     cut = ['{"shipment_id": "SHP', None, "", "[1]", "3"]
     assert found(spark, {1: make(20, base) + cut, 2: cut + make(20, base), 4: make(20, lambda r: {"x": 1})}) == []
