@@ -26,9 +26,9 @@ from harborline.session import materialize
 SHAPES, WORDS = 64, 4096
 #: Weight of a text's kinds of characters beside its values: a share, and a few records as long as values are too rare to tell.
 LIGHT, FEW = 0.22, 2.0
-#: Least content similarity and least final score of a correspondence between different paths.
-LEAST_CONTENT, LEAST_SCORE = 0.55, 0.5
-NAME_WEIGHT, ROUNDS, EPSILON = 0.35, 50, 1e-4
+#: Least converged score of a correspondence between different paths; least content similarity of one whose names aren't as like as LIKE_NAME.
+LEAST_SCORE, LEAST_CONTENT, LIKE_NAME = 0.5, 0.55, 0.8
+NAME_WEIGHT, FLOW, ROUNDS, EPSILON = 0.35, 0.4, 50, 1e-4
 
 
 def kind_of(v) -> str:
@@ -152,26 +152,31 @@ class Schema:
 
 
 def flood(old: Schema, new: Schema) -> tuple[np.ndarray, np.ndarray]:
-    """Content similarity and converged match scores of all nodes of two schema graphs (old by new)."""
+    """Content similarity and converged match scores of all nodes of two schema graphs (old by new).
+
+    Scores are on the scale of their start values: a start value plus what flows in from containers and inner fields.
+    """
     a, b = old.nodes, new.nodes
     content = np.array([[_cosine(old.tokens.get(p, {}), new.tokens.get(q, {})) for q in b] for p in a]).reshape(len(a), len(b))
     names_a, names_b = [_grams(p.rpartition(".")[2]) for p in a], [_grams(q.rpartition(".")[2]) for q in b]
     names = np.array([[_cosine(x, y) for y in names_b] for x in names_a]).reshape(len(a), len(b))
     same = np.array([[p == q for q in b] for p in a], dtype=float).reshape(len(a), len(b))
     typed = np.array([[float(not old.types(p) or not new.types(q) or bool(old.types(p) & new.types(q))) for q in b] for p in a]).reshape(len(a), len(b))
-    start = np.maximum(same, typed * ((1 - NAME_WEIGHT) * content + NAME_WEIGHT * names))
+    common = np.array([[_common(old.tokens.get(p, {}), new.tokens.get(q, {})) for q in b] for p in a]).reshape(len(a), len(b))
+    # texts of common values are the same whatever their names
+    start = np.maximum(same, typed * np.maximum((1 - NAME_WEIGHT) * content + NAME_WEIGHT * names, common))
     up = lambda nodes: np.array([[float(q == p.rpartition(".")[0]) for q in nodes] for p in nodes]).reshape(len(nodes), len(nodes))
     pa, pb = up(a), up(b)
-    scale = lambda m: m / np.maximum(1, m.sum(1, keepdims=True))
+    inner = np.maximum(1, np.maximum(pa.sum(0)[:, None], pb.sum(0)[None, :]))
+    flow = lambda m: FLOW * typed * (pa @ m @ pb.T + pa.T @ m @ pb / inner)
     score = start.copy()
     for _ in range(ROUNDS):
-        flowed = pa @ score @ pb.T + scale(pa.T) @ score @ scale(pb.T).T
-        after = start + 0.5 * score + 0.25 * typed * flowed
+        after = start + 0.5 * score + flow(score)
         after /= max(after.max(initial=0), 1e-9)
         if np.abs(after - score).max(initial=0) < EPSILON:
             break
         score = after
-    return content, score
+    return content, start + flow(score)
 
 
 def compare(old: Schema, new: Schema) -> list[tuple[str, str, str]]:
@@ -188,16 +193,14 @@ def compare(old: Schema, new: Schema) -> list[tuple[str, str, str]]:
         for p in gone:
             for q in come:
                 c, s = content[at_a[p], at_b[q]], score[at_a[p], at_b[q]]
-                if old.types(p) == new.types(q) and c >= LEAST_CONTENT:
+                if old.types(p) == new.types(q) and s >= LEAST_SCORE:
                     tail_p, tail_q = p.rpartition(".")[2], q.rpartition(".")[2]
                     name = _cosine(_grams(tail_p), _grams(tail_q))
                     # flags and other contents of a few values say little: the names must agree as well
                     if old.types(p) == {"boolean"} and name < 0.2:
                         continue
-                    # texts of common values are the same whatever their names
-                    combined = max((1 - NAME_WEIGHT) * c + NAME_WEIGHT * name, _common(old.tokens.get(p, {}), new.tokens.get(q, {}))) + 0.1 * s
-                    if combined >= LEAST_SCORE:
-                        pairs.append((combined, p, q))
+                    if c >= LEAST_CONTENT or name >= LIKE_NAME:
+                        pairs.append((s, p, q))
         used: set[str] = set()
         for _, p, q in sorted(pairs, key=lambda x: (-x[0], x[1], x[2])):
             if f"-{p}" not in used and f"+{q}" not in used:

@@ -64,6 +64,17 @@ def test_arrays_count_all_their_elements(spark):
     assert len(schema_drift.tokens([*same, "e", 1])) == len(schema_drift.tokens(same)) + len(schema_drift.tokens("e")) + len(schema_drift.tokens(1))
 
 
+def test_neighbours_decide(spark):
+    # the container of an enumeration is renamed, and each file holds another value of it
+    def held(box, state):
+        return lambda r: {box: {"code": f"AB-{r.randrange(10**5):05d}", "weight": round(r.uniform(1, 90), 2), "state": state}, "k": 1}
+
+    assert found(spark, {1: make(30, held("box", "open")), 2: make(30, held("parcel", "shut"))}) == [(2, "renamed", f"box.{x}", f"parcel.{x}") for x in ("code", "state", "weight")]
+    # without like neighbours it is another field
+    alone = found(spark, {1: make(30, lambda r: {"box": {"state": "open"}, "k": 1}), 2: make(30, lambda r: {"parcel": {"state": "shut"}, "k": 1})})
+    assert [x[1] for x in alone] == ["added", "removed"]
+
+
 def test_unreadable_nulls_and_gaps(spark):
     cut = ['{"shipment_id": "SHP', None, "", "[1]", "3"]
     assert found(spark, {1: make(20, base) + cut, 2: cut + make(20, base), 4: make(20, lambda r: {"x": 1})}) == []
