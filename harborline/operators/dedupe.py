@@ -20,6 +20,8 @@ from harborline.session import plan_bytes
 BUCKET_BITS = 32768
 #: Input bytes that one shard of a new store is meant for.
 SHARD_BYTES = 64 << 20
+#: Batches that a whole table is delivered in.
+BATCHES = 4
 _BLANKS = " \t\r\n\f\v\u00a0"
 _FAR = 9_000_000_000_000_000_000
 
@@ -126,6 +128,19 @@ class SeenStore:
         self._publish({"shards": shards, "batches": [*state["batches"], batch], "bitmaps": batch})
         return winners
 
+    def deliver_in_order(self, rows: DataFrame, at: str, batches: int = BATCHES) -> DataFrame:
+        """Admit keyed rows in batches by the time `at`, earliest first; returns all winners of the store.
+
+        A time is in one batch only and rows without one are in the last, so the winner of an event is its earliest arrival.
+        """
+        us = F.unix_micros(at)
+        cuts = sorted(set(rows.select(us.alias("us")).approxQuantile("us", [n / batches for n in range(1, batches)], 0.01)))
+        cuts = [int(c) for c in cuts]
+        for lo, hi in zip([None, *cuts], [*cuts, None]):
+            inside = F.lit(True) if lo is None else us >= lo
+            self.deliver(rows.where(inside & (us < hi) if hi is not None else inside | us.isNull()))
+        return self.dictionary()
+
 
 def copies(rows: DataFrame, winners: DataFrame, row_id: str = "message_id") -> DataFrame:
     """Each keyed row that isn't the kept copy of its event, as (row_id); repeated rows come as often as they repeat.

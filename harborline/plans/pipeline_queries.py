@@ -64,8 +64,8 @@ _LANDED = ["delivery.completed", "shipment.created", "driver.location_updated",
 def p7_found(spark, sf):
     """Every row that isn't the kept copy of its event."""
     rows = dedupe.keyed(table(spark, sf, "shipment_events").select("message_id", "event_type", "event_id", "ingest_time"))
-    rows = rows.select("message_id", "_key", "_ord")
-    return dedupe.copies(rows, dedupe.SeenStore(spark, scratch_path(spark, "seen")).deliver(rows))
+    rows = rows.select("message_id", "_key", "_ord", "ingest_time")
+    return dedupe.copies(rows, dedupe.SeenStore(spark, scratch_path(spark, "seen")).deliver_in_order(rows, "ingest_time"))
 
 
 def _kept(spark, sf):

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from harborline.operators import dedupe, late
+from harborline.plans import pipeline_queries
 from harborline.session import scratch_path
 
 SCHEMA = "message_id bigint, event_type string, event_id string, ingest_time timestamp, facility_id string, event_time timestamp, _key string, kept int"
@@ -60,6 +61,22 @@ def test_store_over_batches(spark):
     assert len(store.manifest()["batches"]) == 3
 
 
+def test_table_in_batches_by_arrival(spark, monkeypatch):
+    df = dedupe.keyed(rows(spark, [(n, "t", f"e{n % 70}", (n * 37) % 200 // 2 if n % 9 else None) for n in range(200)]))
+    store = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=3)
+    got = store.deliver_in_order(df, "ingest_time").select("_key", "_ord")
+    assert sorted(got.collect()) == sorted(dedupe.first_arrivals(df).collect()) and got.count() == 70
+    assert len(store.manifest()["batches"]) == dedupe.BATCHES
+    empty = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=3)
+    assert empty.deliver_in_order(df.limit(0), "ingest_time").count() == 0
+    # p7_found reads the bitmaps of earlier batches
+    read = []
+    probed = dedupe.SeenStore.bitmaps
+    monkeypatch.setattr(dedupe.SeenStore, "bitmaps", lambda self: read.append(self.manifest()["bitmaps"]) or probed(self))
+    pipeline_queries.p7_found(spark, "/root/testdata/sf0.001").count()
+    assert len(set(read)) == dedupe.BATCHES - 1 and None not in read
+
+
 def test_failed_batch_leaves_no_trace(spark):
     store = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=2)
     df = rows(spark, [(1, "t", "a", 1)])
