@@ -1,12 +1,15 @@
 """Stops and trips from location pings by hidden semi-Markov decoding.
 
 Pings are cut at long silences into sessions and, should a device never be silent, into blocks of some days that overlap.
-A block is decoded by a two-state hidden semi-Markov model with explicit stop and travel durations; what it says to be a
-stop is then held exactly against the definition: pings within a radius of one centre for a least time.
+A block is decoded by a two-state hidden semi-Markov model with explicit stop and travel durations, which sets the number
+and the borders of stops; the ends of a decoded stop are then trimmed to the pings within a radius of its centre.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -17,14 +20,10 @@ from harborline.operators.slices import sliced
 RADIUS_M, LEAST_S, SILENCE_S = 100.0, 300.0, 7200.0
 #: Length of a block and of the context on either side of it that is decoded with it.
 BLOCK_S, MARGIN_S = 7 * 86_400, 86_400
-#: Explicit durations reach over so many pings; a longer stop or trip goes on with a constant hazard.
-EXPLICIT = 1500
-#: Emissions: position noise of a standing device (m), share and scale of moves on the spot, log-normal speed of travel (m/s), share of pauses in travel and their mean length (s).
-NOISE_M, SPOT_SHARE, SPOT_M, SPEED, SPEED_SD, PAUSES, PAUSE_S = 14.0, 0.03, 45.0, 8.0, 0.9, 0.1, 20.0
+#: Emissions: noise of a standing device on each axis (m), log-normal speed of travel (m/s), share of pauses in travel and their mean length (s).
+NOISE_M, SPEED, SPEED_SD, PAUSES, PAUSE_S = 12.0, 8.0, 0.9, 0.1, 20.0
 #: Log-normal durations (s): medians and deviations of stops (cut at LEAST_S) and of trips.
 STOP_S, STOP_SD, TRIP_S, TRIP_SD = 1500.0, 1.1, 900.0, 1.2
-#: Log chance of going on, per ping beyond the explicit durations.
-TAIL = -0.01
 METRES = 111_195.0
 
 
@@ -33,11 +32,6 @@ def _log_normal(x, median, sd):
     return -0.5 * (np.log(x / median) / sd) ** 2 - np.log(x * sd * np.sqrt(2 * np.pi))
 
 
-def _rayleigh(d, s):
-    d = np.maximum(d, 1.0)
-    return np.log(d) - 2 * np.log(s) - d * d / (2 * s * s)
-
-
 def metres(lat, lon):
     """Plane coordinates around the median position, in metres; longitudes are unwrapped at the date line."""
     lon0, lat0 = np.median(lon), np.median(lat)
@@ -53,9 +47,9 @@ def steps(lat, lon):
 
 def gate(t, p) -> np.ndarray:
     """Which pings aren't strays: a stray is a detour that neither its forerunner nor its follower is near to."""
-    n = len(t)
+    n, t, x, y = len(t), t.tolist(), p[:, 0].tolist(), p[:, 1].tolist()
     keep = np.ones(n, bool)
-    far = lambda a, b: float(np.hypot(*(p[a] - p[b])))
+    far = lambda a, b: math.hypot(x[a] - x[b], y[a] - y[b])
     jump = lambda a, b: far(a, b) > 300 and far(a, b) > 70 * abs(t[b] - t[a])
     last = -1
     for k in range(n):
@@ -64,10 +58,12 @@ def gate(t, p) -> np.ndarray:
                 keep[k] = False
                 continue
         elif k + 1 < n:
-            out, back, direct = far(last, k), far(k, k + 1), far(last, k + 1)
-            if (out > RADIUS_M and back > RADIUS_M and direct < RADIUS_M) or (out + back - direct > 600 and out > 300 and back > 300):
-                keep[k] = False
-                continue
+            out = far(last, k)
+            if out > RADIUS_M:
+                back, direct = far(k, k + 1), far(last, k + 1)
+                if (back > RADIUS_M and direct < RADIUS_M) or (out + back - direct > 600 and out > 300 and back > 300):
+                    keep[k] = False
+                    continue
         elif jump(last, k):
             keep[k] = False
             continue
@@ -75,93 +71,114 @@ def gate(t, p) -> np.ndarray:
     return keep
 
 
+def _first_near(p, j: int) -> int:
+    """First ping of the run up to j in which all pings could share a place with j."""
+    hi, size = j, 64
+    while hi > 0:
+        lo = max(0, hi - size)
+        away = np.flatnonzero(np.hypot(*(p[lo:hi] - p[j]).T) > 2 * RADIUS_M)
+        if len(away):
+            return lo + int(away[-1]) + 1
+        hi, size = lo, size * 2
+    return 0
+
+
 def decode(t, p) -> list[tuple[int, int]]:
-    """Most likely stops as (first, last) positions in pings sorted by time, by explicit-duration Viterbi."""
+    """Most likely stops as (first, last) positions in pings sorted by time, by exact explicit-duration Viterbi.
+
+    A stop emits positions around an unknown centre, a trip emits steps; both have explicit durations, however long. The
+    state changes only next to a step that is more likely of travel than of standing, so only such pings are compared.
+    """
     n = len(t)
-    if n < 2:
+    if n < 2 or t[-1] - t[0] < LEAST_S:
+        return []
+    d, dt = np.maximum(np.hypot(*np.diff(p, axis=0).T), 1.0), np.maximum(np.diff(t), 0.5)
+    flat = np.log(2 * np.pi * d)  # a length as a density over the plane
+    going = _log_normal(d / dt, SPEED, SPEED_SD) - np.log(dt) - flat
+    still = lambda s: -np.log(2 * np.pi * s * s) - d * d / (2 * s * s)
+    pausing = still(NOISE_M * np.sqrt(2)) - dt / PAUSE_S
+    moving = np.concatenate([[0], np.cumsum(np.logaddexp(np.log(1 - PAUSES) + going, np.log(PAUSES) + pausing))])
+    border = going > still(NOISE_M * np.sqrt(2))
+    begins = np.flatnonzero(np.concatenate([[True], border]))
+    ends = np.flatnonzero(np.concatenate([border, [True]]))
+    s1, s2 = np.vstack([np.zeros(2), np.cumsum(p, axis=0)]), np.concatenate([[0], np.cumsum((p * p).sum(1))])
+    entry = np.full(n, -np.inf)  # best score of all before a stop that begins at the ping
+    came = np.full(n, -1)  # last ping of the stop before it
+    left: list[int] = []  # ends of stops so far, with their scores and first pings
+    score: list[float] = []
+    first: list[int] = []
+
+    def trip(j: int) -> tuple[float, int]:
+        """Best score of arriving at ping j by a trip, and where it began; -1 for a session that begins with it."""
+        best, at = (moving[j] + float(_log_normal(t[j] - t[0], TRIP_S, TRIP_SD)), -1) if j else (0.0, -1)
+        before = bisect_left(left, j)
+        if before:
+            e = np.array(left[:before])
+            total = np.array(score[:before]) + moving[j] - moving[e] + _log_normal(t[j] - t[e], TRIP_S, TRIP_SD)
+            k = int(np.argmax(total))
+            if total[k] > best:
+                best, at = float(total[k]), int(e[k])
+        return best, at
+
+    for j in ends:
+        lo = _first_near(p, j)
+        own = begins[np.searchsorted(begins, lo) : np.searchsorted(begins, j)]
+        own = own[t[j] - t[own] >= LEAST_S]
+        if not len(own):
+            continue
+        for i in own[entry[own] == -np.inf]:
+            entry[i], came[i] = trip(i)
+        m = j - own + 1
+        total = s1[j + 1] - s1[own]
+        spread = s2[j + 1] - s2[own] - (total * total).sum(1) / m
+        fit = entry[own] - (m - 1) * np.log(2 * np.pi * NOISE_M**2) - np.log(m) - spread / (2 * NOISE_M**2) + _log_normal(t[j] - t[own], STOP_S, STOP_SD)
+        k = int(np.argmax(fit))
+        left.append(int(j))
+        score.append(float(fit[k]))
+        first.append(int(own[k]))
+    if not left:
         return []
-    d, dt = np.hypot(*np.diff(p, axis=0).T), np.maximum(np.diff(t), 0.5)
-    standing = np.logaddexp(np.log(1 - SPOT_SHARE) + _rayleigh(d, NOISE_M), np.log(SPOT_SHARE) + _rayleigh(d, SPOT_M))
-    moving = np.logaddexp(np.log(1 - PAUSES) + _log_normal(np.maximum(d, 1.0) / dt, SPEED, SPEED_SD) - np.log(dt), np.log(PAUSES) + _rayleigh(d, NOISE_M) - dt / PAUSE_S)
-    emit = [np.concatenate([[0], np.cumsum(standing)]), np.concatenate([[0], np.cumsum(moving)])]
-    score = np.full((2, n), -np.inf)  # best score of a segmentation whose last segment, in the state, ends at the ping
-    back = np.zeros((2, n), np.int64)
-    score[:, 0] = 0
-    entry = np.zeros((2, n))  # best score of being at a ping with the state about to begin
-    for j in range(1, n):
-        lo = max(0, j - EXPLICIT)
-        span = t[j] - t[lo:j]
-        for state in (0, 1):
-            long = _log_normal(span, STOP_S, STOP_SD) if state == 0 else _log_normal(span, TRIP_S, TRIP_SD)
-            if state == 0:
-                long = np.where(span >= LEAST_S, long, -np.inf)
-            total = entry[state, lo:j] + emit[state][j] - emit[state][lo:j] + long
-            best = int(np.argmax(total))
-            score[state, j], back[state, j] = total[best], lo + best
-            if lo > 0 and score[state, j - 1] > -np.inf:  # the constant hazard beyond the explicit durations
-                going = score[state, j - 1] + emit[state][j] - emit[state][j - 1] + TAIL
-                if going > score[state, j]:
-                    score[state, j], back[state, j] = going, back[state, j - 1]
-        entry[0, j], entry[1, j] = score[1, j], score[0, j]
-    stops, j, state = [], n - 1, int(np.argmax(score[:, n - 1]))
-    while j > 0 and score[state, j] > -np.inf:
-        i = int(back[state, j])
-        if state == 0:
-            stops.append((i, j))
-        j, state = i, 1 - state
+    begun = dict(zip(left, first))
+    best, at = trip(n - 1)
+    if left[-1] == n - 1 and score[-1] >= best:
+        at = n - 1
+    stops = []
+    while at >= 0:
+        stops.append((begun[at], at))
+        at = int(came[begun[at]])
     return stops[::-1]
 
 
-def hold(t, p, lo: int, hi: int, lower: int, upper: int) -> list[tuple[int, int]]:
-    """A decoded stop against the definition: (first, last) of its pings within the radius of their centre.
-
-    Pings next to it that are within the radius belong to it; a step beyond the radius or a run of pings elsewhere parts it.
-    """
-    centre = np.median(p[lo : hi + 1], axis=0)
-    near = np.hypot(*(p[lo : hi + 1] - centre).T) <= RADIUS_M
-    steps = np.hypot(*np.diff(p[lo : hi + 1], axis=0).T)
-    if len(steps) and (steps.max() > RADIUS_M or not near.any()):  # two places, whose joint centre says nothing
-        cut = lo + int(np.argmax(steps))
-        return [x for a, b in ((lo, cut), (cut + 1, hi)) if b > a and t[b] - t[a] >= LEAST_S for x in hold(t, p, a, b, lower if a == lo else a, upper if b == hi else b)]
-    if not near.any():
-        return []
-    inside = np.flatnonzero(near) + lo
-    away = np.flatnonzero(np.diff(inside) > 2)  # two or more in a row elsewhere
-    if len(away):
-        parts, first = [], lo
-        for k in away:
-            parts += [(first, inside[k]), (inside[k] + 1, inside[k + 1] - 1)]
-            first = inside[k + 1]
-        parts.append((first, hi))
-        return [x for a, b in parts if b > a and t[b] - t[a] >= LEAST_S for x in hold(t, p, int(a), int(b), int(a), int(b))]
-    first, last = int(inside[0]), int(inside[-1])
-    while first > lower and np.hypot(*(p[first - 1] - centre)) <= RADIUS_M:
+def trim(t, p, a: int, b: int, lower: int, upper: int) -> tuple[int, int] | None:
+    """A decoded stop by the definition: from its first to its last ping within the radius of its centre, with neighbours that are; None if too short."""
+    centre = np.median(p[a : b + 1], axis=0)
+    inside = np.flatnonzero(np.hypot(*(p[lower : upper + 1] - centre).T) <= RADIUS_M) + lower
+    core = inside[(inside >= a) & (inside <= b)]
+    if not len(core):
+        return None
+    first, last = int(core[0]), int(core[-1])
+    while first - 1 >= lower and np.hypot(*(p[first - 1] - centre)) <= RADIUS_M:
         first -= 1
-    while last < upper and np.hypot(*(p[last + 1] - centre)) <= RADIUS_M:
+    while last + 1 <= upper and np.hypot(*(p[last + 1] - centre)) <= RADIUS_M:
         last += 1
-    left = [hold(t, p, a, b, a, b) for a, b in ((lo, first - 1), (last + 1, hi)) if b > a and t[b] - t[a] >= LEAST_S and b - a < hi - lo]
-    return sorted([x for part in left for x in part] + ([(first, last)] if t[last] - t[first] >= LEAST_S else []))
+    return (first, last) if t[last] - t[first] >= LEAST_S else None
 
 
 def stops_of(t, p) -> list[tuple[int, int]]:
-    """Stops among gated pings; neighbours at one place with nothing else between them are one."""
-    found, decoded = [], decode(t, p)
+    """Stops among gated pings: the decoded ones, trimmed; neighbours at one place with nothing else between them are one."""
+    decoded, out = decode(t, p), []
     for k, (a, b) in enumerate(decoded):
-        lower = decoded[k - 1][1] + 1 if k else 0
+        lower = max(decoded[k - 1][1] + 1 if k else 0, out[-1][1] + 1 if out else 0)
         upper = decoded[k + 1][0] - 1 if k + 1 < len(decoded) else len(t) - 1
-        found += hold(t, p, a, b, min(lower, a), max(upper, b))
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if out and a <= out[-1][1]:
-            a = out[-1][1] + 1
-            if a > b or t[b] - t[a] < LEAST_S:
-                continue
+        held = trim(t, p, max(a, lower), b, lower, upper) if b > lower else None
+        if held is None:
+            continue
         if out:
-            centre = np.median(p[out[-1][0] : b + 1], axis=0)
-            if (np.hypot(*(p[out[-1][0] : b + 1] - centre).T) <= RADIUS_M).all():
-                out[-1] = (out[-1][0], b)
+            centre = np.median(p[out[-1][0] : held[1] + 1], axis=0)
+            if (np.hypot(*(p[out[-1][0] : held[1] + 1] - centre).T) <= RADIUS_M).all():
+                out[-1] = (out[-1][0], held[1])
                 continue
-        out.append((a, b))
+        out.append(held)
     return out
 
 

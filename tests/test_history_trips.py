@@ -128,7 +128,86 @@ def test_distances_over_blocks(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_durations_beyond_the_explicit_ones(seed, monkeypatch):
-    monkeypatch.setattr(trips, "EXPLICIT", 30)
-    points = np.array(track([("stop", 6000, 40), ("go", 5000, 9, 30), ("stop", 6000, 40)], seed))
+def test_long_durations(seed):
+    points = np.array(track([("stop", 400_000, 40), ("go", 200_000, 9, 30), ("stop", 6000, 40)], seed))
     assert len(trips.stops_of(points[:, 0], points[:, 1:])) == 2
+
+
+def test_decoding_decides(spark, sf, monkeypatch):
+    points = np.array(track([("stop", 900, 40), ("go", 4000, 9, 30), ("stop", 900, 40), ("go", 4000, 9, 30), ("stop", 900, 40)]))
+    assert len(trips.stops_of(points[:, 0], points[:, 1:])) == 3
+    monkeypatch.setattr(trips, "decode", lambda t, p: [(0, len(t) - 1)])
+    assert len(trips.stops_of(points[:, 0], points[:, 1:])) < 3
+
+
+def _best_by_enumeration(t, p):
+    """Score and stops of the best segmentation, with every pair of pings as a stop; the model written out once more."""
+    d, dt = np.maximum(np.hypot(*np.diff(p, axis=0).T), 1.0), np.diff(t)
+    logn = lambda x, m, s: -0.5 * (math.log(x / m) / s) ** 2 - math.log(x * s * math.sqrt(2 * math.pi))
+    step = [np.logaddexp(math.log(1 - trips.PAUSES) + logn(a / b, trips.SPEED, trips.SPEED_SD) - math.log(b) - math.log(2 * math.pi * a), math.log(trips.PAUSES) - math.log(4 * math.pi * trips.NOISE_M**2) - a * a / (4 * trips.NOISE_M**2) - b / trips.PAUSE_S) for a, b in zip(d, dt)]
+    trip = lambda i, j: sum(step[i:j]) + logn(t[j] - t[i], trips.TRIP_S, trips.TRIP_SD) if j > i else 0.0
+
+    def stop(i, j):
+        q, v = p[i : j + 1], trips.NOISE_M**2
+        return -(j - i) * math.log(2 * math.pi * v) - math.log(j - i + 1) - ((q - q.mean(0)) ** 2).sum() / (2 * v) + logn(t[j] - t[i], trips.STOP_S, trips.STOP_SD)
+
+    n = len(t)
+    best = {}  # last ping of the last stop -> (score, stops)
+    for j in range(n):
+        for i in range(j):
+            if t[j] - t[i] < trips.LEAST_S:
+                continue
+            before = max([(trip(0, i), [])] + [(s + trip(e, i), x) for e, (s, x) in best.items() if e < i], key=lambda x: x[0])
+            score = before[0] + stop(i, j)
+            if j not in best or score > best[j][0]:
+                best[j] = (score, before[1] + [(i, j)])
+    ends = [(trip(0, n - 1), [])] + [(s + (trip(e, n - 1) if e < n - 1 else 0), x) for e, (s, x) in best.items()]
+    return max(ends, key=lambda x: x[0])[1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_viterbi_is_exact(seed):
+    rng = np.random.default_rng(seed)
+    legs = [leg for _ in range(3) for leg in (("stop", int(rng.integers(310, 900)), 50), ("go", int(rng.integers(600, 2500)), 9, 40))]
+    points = np.array(track(legs, seed))
+    assert trips.decode(points[:, 0], points[:, 1:]) == _best_by_enumeration(points[:, 0], points[:, 1:])
+
+
+def by_definition(t, p):
+    """(first, last) of stops by growing each from its first ping: within the radius of the median so far, one ping elsewhere disregarded."""
+    out, i = [], 0
+    while i < len(t):
+        members, missed = [i], 0
+        for j in range(i + 1, len(t)):
+            centre = np.median(p[members], axis=0)
+            if t[j] - t[j - 1] > trips.SILENCE_S:
+                break
+            if np.hypot(*(p[j] - centre)) <= trips.RADIUS_M:
+                members.append(j)
+                missed = 0
+            else:
+                missed += 1
+                if missed > 1:
+                    break
+        centre = np.median(p[members], axis=0)
+        members = [k for k in members if np.hypot(*(p[k] - centre)) <= trips.RADIUS_M]
+        if members and t[members[-1]] - t[members[0]] >= trips.LEAST_S:
+            out.append((members[0], members[-1]))
+            i = members[-1] + 1
+        else:
+            i += 1
+    return out
+
+
+def test_stops_as_by_definition(spark):
+    pings = spark.read.parquet("/root/testdata/sf0.01/driver_locations.parquet")
+    ours = {(r.driver_id, r.first_ping_id, r.last_ping_id) for r in trips.stops(pings).collect()}
+    rows = pings.selectExpr("driver_id", "ping_id", "unix_micros(event_timestamp) / 1e6 AS t", "location.latitude AS lat", "location.longitude AS lon").toPandas().dropna().sort_values(["driver_id", "t", "ping_id"])
+    rows = rows.drop_duplicates(["driver_id", "t"])
+    theirs = set()
+    for driver, x in rows.groupby("driver_id"):
+        t, ids = x.t.to_numpy(), x.ping_id.to_numpy()
+        east = np.cos(np.radians(x.lat.median())) * trips.METRES * (x.lon - x.lon.median())
+        theirs |= {(driver, ids[a], ids[b]) for a, b in by_definition(t, np.column_stack([east, trips.METRES * (x.lat - x.lat.median())]))}
+    assert len(theirs) > 100
+    assert len(ours & theirs) >= 0.99 * max(len(ours), len(theirs))
