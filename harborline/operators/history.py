@@ -31,8 +31,7 @@ def updates(df: DataFrame, entity: str, attributes: list[str], fields: str = "up
     keyed = dedupe.keyed(df.withColumn("_type", F.lit("")), "_type", event_id, "ingest_time", row_id)
     cols = [F.col(entity).alias("entity"), F.col("event_time").alias("at"), "_key", "_ord", *[F.when(is_set(fields, a), F.struct(F.col(a).alias("v"))).alias(a) for a in attributes]]
     rows = keyed.select(*cols)
-    kept = rows.join(dedupe.first_arrivals(rows), ["_key", "_ord"], "left_semi").dropDuplicates(["_key", "_ord"])
-    return kept.unionByName(rows.where("_key IS NULL")).drop("_key").where("entity IS NOT NULL AND at IS NOT NULL")
+    return dedupe.first_rows(rows, "entity", "at", "_ord", *attributes).where("entity IS NOT NULL AND at IS NOT NULL")
 
 
 def snapshots(df: DataFrame, entity: str, attributes: list[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from harborline.session import materialize
+
 PERIOD_S, CUTOFF_S = 300, 86_400
 
 
@@ -20,19 +22,18 @@ _FAR = 9_000_000_000_000_000_000
 
 
 def kept_events(df: DataFrame, row_id: str = "message_id") -> DataFrame:
-    """The kept copy of each event, with only what the triangle needs; rows without an identifier stay."""
+    """The kept copy of each event, with only what the triangle needs, in one pass; rows without an identifier stay."""
     spark = df.sparkSession
     order = f"CAST(coalesce(unix_micros(ingest_time), {_FAR}) AS DECIMAL(19,0)) * CAST('1{'0' * 19}' AS DECIMAL(20,0)) + CAST(coalesce({row_id}, {_FAR}) AS DECIMAL(19,0))"
     key = _KEY.replace("{", "{{").replace("}", "}}")  # braces are fields of a formatted statement
-    rows = spark.sql(f"SELECT {row_id}, facility_id, event_time, ingest_time, {key} AS _key, {order} AS _ord FROM {{df}}", df=df)
     return spark.sql(
         f"""
-        SELECT first({row_id}) AS {row_id}, first(facility_id) AS facility_id, first(event_time) AS event_time, first(ingest_time) AS ingest_time
-        FROM {{rows}} r LEFT SEMI JOIN (SELECT _key AS k, min(_ord) AS o FROM {{rows}} WHERE _key IS NOT NULL GROUP BY _key) ON _key = k AND _ord = o
-        GROUP BY _key, _ord
-        UNION ALL SELECT {row_id}, facility_id, event_time, ingest_time FROM {{rows}} WHERE _key IS NULL
+        SELECT x.* FROM (
+            SELECT min_by(struct({row_id}, facility_id, event_time, ingest_time), {order}) AS x
+            FROM (SELECT {row_id}, facility_id, event_time, ingest_time, {key} AS _key FROM {{df}})
+            GROUP BY _key, CASE WHEN _key IS NULL THEN monotonically_increasing_id() END)
         """,
-        rows=rows,
+        df=df,
     )
 
 
@@ -83,5 +84,16 @@ def beyond_cutoff(kept: DataFrame, period_s: int = PERIOD_S, cutoff_s: int = CUT
 
 
 def late_rows(kept: DataFrame, period_s: int = PERIOD_S, cutoff_s: int = CUTOFF_S, row_id: str = "message_id") -> DataFrame:
-    """(row_id, arrival) of each record that came after its period."""
-    return kept.sparkSession.sql(f"SELECT {row_id}, arrival FROM {{c}} WHERE arrival <> 'on_time'", c=classified(kept, period_s, cutoff_s))
+    """(row_id, arrival) of each record that came after its period: late if a revision of the triangle counts it, too_late if none does.
+
+    Of the records only those that arrived after their period are joined with the revisions; a record has one at most.
+    """
+    c = materialize(kept, "kept")
+    return kept.sparkSession.sql(
+        f"""
+        SELECT {row_id}, CASE WHEN r.total IS NOT NULL THEN 'late' ELSE 'too_late' END AS arrival
+        FROM (SELECT * FROM {{c}} WHERE arrival_start > period_start) c LEFT JOIN {{r}} r
+        ON c.facility_id <=> r.facility_id AND c.period_start = r.period_start AND c.arrival_start = r.arrival_start
+        """,
+        c=classified(c, period_s, cutoff_s), r=revisions(c, period_s, cutoff_s),
+    )

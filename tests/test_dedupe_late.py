@@ -56,11 +56,39 @@ def test_store_over_batches(spark):
     assert ids(dedupe.keep_first(again, store)) == sorted((True, n) for key, n in first_of.items() if key >= 50)
     assert dedupe.keep_first(again, store).count() == 0
     bits = store.bitmaps().select(F.sum(F.bitmap_count("bits"))).first()[0]
-    assert bits == store.dictionary().count() == 80
-    assert store.dictionary().select("shard", "ordinal").distinct().count() == 80
+    assert bits == store.dictionary().count() == store.winners().count() == 80
+    assert store.dictionary().select("segment", "shard", "ordinal").distinct().count() == 80
     assert len(store.manifest()["batches"]) == 3
 
 
+def test_batches_read_touched_shards(spark, monkeypatch):
+    store = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=8)
+    store.deliver(dedupe.keyed(rows(spark, [(n, "t", f"e{n}", n) for n in range(400)])))
+    few = dedupe.keyed(rows(spark, [(900, "t", "e7", 900), (901, "t", "new", 901)]))
+    read = store.dictionary(few)
+    files = {f.split("shard=")[1].split("/")[0] for f in read.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+    assert 0 < len(files) <= 2
+    assert [r._key for r in store.deliver(few).collect()] == ["t:new"]
+    monkeypatch.setattr(dedupe, "TOUCHED", 0)
+    assert store.deliver(few).count() == 0
+
+
+def test_bitmaps_are_put_together(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "COMPACTED", 2)
+    store = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=2)
+    got = [store.deliver(dedupe.keyed(rows(spark, [(n, "t", f"e{m}", n) for n, m in enumerate(range(k, k + 40))]))).count() for k in (0, 20, 40, 30, 100)]
+    assert got == [40, 20, 20, 0, 40] and len(store.manifest()["bitmaps"]) < 4
+    assert store.bitmaps().select(F.sum(F.bitmap_count("bits"))).first()[0] == 120
+
+
+def test_bits_decide(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    right = sorted(r[0] for r in pipeline_queries.p7_found(spark, sf).collect())
+    united = dedupe._united
+    monkeypatch.setattr(dedupe, "_united", lambda b: united(b).where("false"))
+    assert sorted(r[0] for r in pipeline_queries.p7_found(spark, sf).collect()) != right
+
+
 def test_table_in_batches_by_arrival(spark, monkeypatch):
     df = dedupe.keyed(rows(spark, [(n, "t", f"e{n % 70}", (n * 37) % 200 // 2 if n % 9 else None) for n in range(200)]))
     store = dedupe.SeenStore(spark, scratch_path(spark, "store"), shards=3)
@@ -72,9 +100,9 @@ def test_table_in_batches_by_arrival(spark, monkeypatch):
     # p7_found reads the bitmaps of earlier batches
     read = []
     probed = dedupe.SeenStore.bitmaps
-    monkeypatch.setattr(dedupe.SeenStore, "bitmaps", lambda self: read.append(self.manifest()["bitmaps"]) or probed(self))
+    monkeypatch.setattr(dedupe.SeenStore, "bitmaps", lambda self: read.append(len(self.manifest()["bitmaps"])) or probed(self))
     pipeline_queries.p7_found(spark, "/root/testdata/sf0.001").count()
-    assert len(set(read)) == dedupe.BATCHES - 1 and None not in read
+    assert read == list(range(1, dedupe.BATCHES))
 
 
 def test_failed_batch_leaves_no_trace(spark):
@@ -98,6 +126,7 @@ def test_late_classes_and_revisions(spark):
     revisions = late.revisions(kept).orderBy("revision").collect()
     assert [(r.revision, r.added, r.total) for r in revisions] == [(1, 2, 2), (2, 1, 3), (3, 1, 4)]
     assert late.beyond_cutoff(kept).first().too_late == 1
+    assert late.late_rows(kept.limit(0)).count() == 0
     assert late.revisions(kept.limit(0)).count() == 0
 
 
@@ -106,3 +135,11 @@ def test_late_knows_every_spelling(spark):
     df = spark.createDataFrame([(n, "a.b", e, at(n + 1), "F", at(0)) for n, e in enumerate(ids)], "message_id bigint, event_type string, event_id string, ingest_time timestamp, facility_id string, event_time timestamp")
     kept = sorted(r.message_id for r in late.kept_events(df).collect())
     assert kept == [0, 4, 6] == sorted(r.message_id for r in dedupe.keep_first(df).collect())
+
+
+def test_the_triangle_decides(spark, monkeypatch):
+    df = spark.createDataFrame([(m, "t", f"e{m}", at(i), None, at(0)) for m, i in [(1, 10), (3, 300), (5, 86_700)]], "message_id bigint, event_type string, event_id string, ingest_time timestamp, facility_id string, event_time timestamp")
+    kept = late.kept_events(df)
+    whole = late.revisions
+    monkeypatch.setattr(late, "revisions", lambda *a: whole(*a).where("revision < 2"))
+    assert sorted(map(tuple, late.late_rows(kept).collect())) == [(3, "too_late"), (5, "too_late")]
