@@ -22,13 +22,17 @@ from pyspark.sql import functions as F
 from harborline.operators.lookup import lookup
 from harborline.session import materialize
 
-#: Hash buckets for shapes and for words in a content histogram, which bound its size.
-SHAPES, WORDS = 64, 4096
+#: Hash buckets for shapes and for words of a field in a content histogram, which bound its size.
+SHAPES, WORDS = 1 << 16, 1 << 16
+#: Levels of nesting beyond which a payload counts as unreadable.
+DEEPEST = 200
 #: Weight of a text's kinds of characters beside its values: a share, and a few records as long as values are too rare to tell.
 LIGHT, FEW = 0.22, 2.0
 #: Least converged score of a correspondence between different paths; least content similarity of one whose names aren't as like as LIKE_NAME.
 LEAST_SCORE, LEAST_CONTENT, LIKE_NAME = 0.5, 0.55, 0.8
-NAME_WEIGHT, FLOW, ROUNDS, EPSILON = 0.35, 0.4, 50, 1e-4
+#: Share of names in the start values, share of a score that flows on, change below which scores have converged. The iteration is a
+#: normalised positive affine map, which converges; beyond MOST_ROUNDS it is an error.
+NAME_WEIGHT, FLOW, EPSILON, MOST_ROUNDS = 0.35, 0.4, 1e-4, 10_000
 
 
 def kind_of(v) -> str:
@@ -52,61 +56,84 @@ def flatten(o: dict, prefix: str = ""):
                 stack.append((f"{p}{k}.", v))
 
 
+def _refuse(constant: str):
+    raise ValueError(constant)
+
+
+def _too_deep(text: str) -> bool:
+    if text.count("[") + text.count("{") <= DEEPEST:
+        return False
+    depth = 0
+    for m in re.finditer(r'"(?:[^"\\]|\\.)*"|[\[{\]}]', text):
+        depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(m[0], 0)
+        if depth > DEEPEST:
+            return True
+    return False
+
+
 def readable(payload: str | None) -> dict | None:
-    """The object in a payload; None if it is cut off, isn't JSON or isn't an object."""
+    """The object in a payload; None if it is cut off, isn't JSON (NaN and Infinity aren't), isn't an object or is nested too deep."""
     try:
-        o = json.loads(payload) if payload else None
-    except ValueError:
+        o = json.loads(payload, parse_constant=_refuse) if payload and not _too_deep(payload) else None
+    except (ValueError, RecursionError):
         return None
     return o if isinstance(o, dict) else None
 
 
-def tokens(v):
-    """Content tokens of a value: what stays the same when a field is only renamed."""
+def tokens(v) -> list[str]:
+    """Content tokens of a value: what stays the same when a field is only renamed. All elements of an array count."""
+    if isinstance(v, list):
+        out, stack = [], [("a", x) for x in v]
+        while stack:
+            prefix, x = stack.pop()
+            if isinstance(x, list):
+                stack += [(prefix + "a", y) for y in x]
+            else:
+                out += [prefix + t for t in tokens(x)]
+        return out or ["a"]
     if isinstance(v, bool):
         return [f"b{v}"]
     if isinstance(v, (int, float)):
         decimals = len(repr(v).partition(".")[2]) if isinstance(v, float) else 0
+        if isinstance(v, float) and math.isinf(v):  # written with an exponent beyond doubles
+            return ["m-inf" if v < 0 else "minf", "d0"]
         size = f"i{v}" if decimals == 0 and abs(v) < 10 else f"m{'-' if v < 0 else ''}{int(math.log2(abs(v))) if v else 0}"
         return [size, f"d{min(decimals, 3)}"]
     if isinstance(v, str):
         shape = re.sub(r"(.)\1{2,}", r"\1+", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", v)))) if re.search(r"\d", v) else ""
         lead = re.match(r"[A-Za-z]*", v)[0]
         if shape:
-            return [f"s{zlib.crc32(shape.encode()) % SHAPES}", f"l{zlib.crc32(lead.encode()) % WORDS}"]
+            return [f"s{zlib.crc32(shape.encode("utf-8", "surrogatepass")) % SHAPES}", f"l{zlib.crc32(lead.encode()) % WORDS}"]
         kinds = sorted({"A" if c.isupper() else "a" if c.isalpha() else " " if c.isspace() else "." for c in v})
-        return [f"w{zlib.crc32(v.encode()) % WORDS}", f"k{''.join(kinds)}"]
-    if isinstance(v, list):
-        return [f"a{t}" for x in v for t in tokens(x)] or ["a"]
+        return [f"w{zlib.crc32(v.encode("utf-8", "surrogatepass")) % WORDS}", f"k{''.join(kinds)}"]
     return []
 
 
 def _profile(batches):
     for pdf in batches:
         count: Counter = Counter()
-        for feed, no, event_type, payload in zip(pdf.feed_id, pdf.file_no, pdf.event_type, pdf.payload):
+        for feed, no, payload in zip(pdf.feed_id, pdf.file_no, pdf.payload):
             o = readable(payload)
             if o is None:
                 continue
-            count[feed, no, event_type, "", "file", ""] += 1
+            count[feed, no, "", "file", ""] += 1
             for path, v in flatten(o):
                 kind = kind_of(v)
-                count[feed, no, event_type, path, kind, ""] += 1
+                count[feed, no, path, kind, ""] += 1
                 for t in tokens(v):
-                    count[feed, no, event_type, path, kind, t] += 1
-        yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["feed_id", "file_no", "event_type", "path", "kind", "token", "n"])
+                    count[feed, no, path, kind, t] += 1
+        yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["feed_id", "file_no", "path", "kind", "token", "n"])
 
 
 def profiles(landed: DataFrame) -> DataFrame:
-    """(feed_id, file_no, event_type, path, kind, token, n): counts over all readable records, combined before the shuffle.
+    """(feed_id, file_no, path, kind, token, n): counts over all readable records, combined before the shuffle.
 
     Rows without a feed or file number belong to no file and are left out. Files landed twice count double, which
     changes no share. The row with path '' and kind 'file' stands for the file itself.
     """
-    rows = landed.select("feed_id", "file_no", "event_type", "payload").where("feed_id IS NOT NULL AND file_no IS NOT NULL")
-    parts = rows.mapInPandas(_profile, "feed_id string, file_no bigint, event_type string, path string, kind string, token string, n bigint")
-    keys = ["feed_id", "file_no", "event_type", "path", "kind", "token"]
-    return materialize(parts.groupBy(*keys).agg(F.sum("n").alias("n")), "profiles")
+    rows = landed.select("feed_id", "file_no", "payload").where("feed_id IS NOT NULL AND file_no IS NOT NULL")
+    parts = rows.mapInPandas(_profile, "feed_id string, file_no bigint, path string, kind string, token string, n bigint")
+    return materialize(parts.groupBy("feed_id", "file_no", "path", "kind", "token").agg(F.sum("n").alias("n")), "profiles")
 
 
 def _grams(name: str) -> Counter:
@@ -129,20 +156,27 @@ def _common(a: dict, b: dict) -> float:
     return sum(shares) / 2
 
 
+def _heads(path: str) -> list[str]:
+    """The paths of the containers that a path is in."""
+    return [path[:k] for k, c in enumerate(path) if c == "."]
+
+
 class Schema:
     """Fields of one file: kinds and tokens by path; inner keys of fields that are (or were) plain values are left out."""
 
     def __init__(self, rows, leafy: set[str]):
         self.kinds: dict[str, set[str]] = defaultdict(set)
         self.tokens: dict[str, Counter] = defaultdict(Counter)
-        raw = [(p, k, t, n) for p, k, t, n in rows if p]
-        inside = lambda p: next((q for q in leafy if p.startswith(q + ".")), None)
-        for p, k, t, n in raw:
-            owner = inside(p)
-            if owner is None and not t:
+        owners: dict[str, str] = {}
+        for p, k, t, n in rows:
+            if not p:
+                continue
+            if p not in owners:
+                owners[p] = min((h for h in _heads(p) if h in leafy), key=len, default="")
+            if not owners[p] and not t:
                 self.kinds[p].add(k)
             if t:
-                self.tokens[owner or p][t] += LIGHT * n + FEW if t.lstrip("a").startswith("k") else n
+                self.tokens[owners[p] or p][t] += LIGHT * n + FEW if t.lstrip("a").startswith("k") else n
         parents = {p.rpartition(".")[0] for p in self.kinds}
         self.fields = {p for p, k in self.kinds.items() if p in leafy or k - {"object", "null"} or p not in parents}
         self.nodes = sorted(self.kinds)
@@ -170,12 +204,14 @@ def flood(old: Schema, new: Schema) -> tuple[np.ndarray, np.ndarray]:
     inner = np.maximum(1, np.maximum(pa.sum(0)[:, None], pb.sum(0)[None, :]))
     flow = lambda m: FLOW * typed * (pa @ m @ pb.T + pa.T @ m @ pb / inner)
     score = start.copy()
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
         after = start + 0.5 * score + flow(score)
         after /= max(after.max(initial=0), 1e-9)
         if np.abs(after - score).max(initial=0) < EPSILON:
             break
         score = after
+    else:
+        raise ArithmeticError("match scores do not converge")
     return content, start + flow(score)
 
 
@@ -227,12 +263,16 @@ def changes(profile: DataFrame) -> DataFrame:
     A group is the two profiles of one file pair, bounded by the width of their schemas, not by their records. A file
     whose predecessor is missing is compared with nothing.
     """
-    profile = profile.groupBy("feed_id", "file_no", "path", "kind", "token").agg(F.sum("n").alias("n"))
     plain = profile.where("kind NOT IN ('object', 'null', 'file')").groupBy("feed_id", "path").agg(F.min("file_no").alias("first_plain"))
-    marked = profile.join(plain, ["feed_id", "path"], "left")
-    new = marked.withColumn("side", F.lit("new"))
-    old = marked.withColumn("side", F.lit("old")).withColumn("file_no", F.col("file_no") + 1)
-    both = new.unionByName(old).withColumn("leafy", F.coalesce(F.col("first_plain") <= F.col("file_no"), F.lit(False))).drop("first_plain")
+    later = lambda df: df.withColumn("file_no", F.col("file_no") + 1)
+    # content is compared only where a path went and another came
+    paths = profile.where("token = '' AND path <> ''").select("feed_id", "file_no", "path").distinct()
+    sides = paths.withColumn("there", F.lit(1)).unionByName(later(paths).withColumn("there", F.lit(2))).groupBy("feed_id", "file_no", "path").agg(F.sum("there").alias("there"))
+    moved = sides.groupBy("feed_id", "file_no").agg((F.bool_or(F.col("there") == 1) & F.bool_or(F.col("there") == 2)).alias("moved")).where("moved").select("feed_id", "file_no")
+    sided = profile.withColumn("side", F.lit("new")).unionByName(later(profile).withColumn("side", F.lit("old")))
+    sided = sided.where("token = ''").unionByName(sided.where("token <> ''").join(moved, ["feed_id", "file_no"], "left_semi"))
+    both = sided.join(plain, ["feed_id", "path"], "left")
+    both = both.withColumn("leafy", F.coalesce(F.col("first_plain") <= F.col("file_no"), F.lit(False))).drop("first_plain")
     return both.groupBy("feed_id", "file_no").applyInPandas(_pair, "feed_id string, file_no bigint, change_kind string, field_path string, new_path string")
 
 
@@ -287,9 +327,10 @@ def unified(landed: DataFrame, event_type: str, profile: DataFrame | None = None
     field turned into are further columns. A file landed twice gives its records once (by feed, file and event_id).
     Unreadable payloads have null in every field and readable = false.
     """
+    landed = landed.where(F.col("event_type") == event_type)
     profile = profiles(landed) if profile is None else profile
     change = change if change is not None else materialize(changes(profile), "changes")
-    rows = landed.where(F.col("event_type") == event_type).select(F.col("record_id").cast("string").alias("record_id"), "feed_id", "file_no", "event_id", "event_time", "payload")
+    rows = landed.select(F.col("record_id").cast("string").alias("record_id"), "feed_id", "file_no", "event_id", "event_time", "payload")
     rows = rows.withColumn("file_key", F.to_json(F.struct("feed_id", "file_no")))
     rows = lookup(rows, mapping(profile, change), "file_key", "record_id").drop("file_key").withColumn("file_no", F.col("file_no").cast("string"))
     flat = rows.mapInPandas(_unify, "record_id string, feed_id string, file_no string, event_id string, event_time timestamp, fields map<string,string>")

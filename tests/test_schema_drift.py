@@ -2,6 +2,8 @@ import datetime as dt
 import json
 import random
 
+import pytest
+
 from harborline.operators import schema_drift
 
 L = "record_id bigint, feed_id string, file_no bigint, event_id string, event_type string, event_time timestamp, payload string, kind string, n int"
@@ -102,3 +104,23 @@ def test_flooding_converges():
     a = schema_drift.Schema([("p", "string", "", 9), ("q", "object", "", 9), ("q.r", "number", "", 9), ("q.r", "number", "i1", 9)], set())
     content, score = schema_drift.flood(a, a)
     assert (score.argmax(1) == range(3)).all()
+
+
+@pytest.mark.parametrize("bad", ['{"a": NaN}', '{"a": -Infinity}', '{"a": ' + "[" * 5000 + "]" * 5000 + "}", '{"a": ' + '{"b": ' * 3000 + "1" + "}" * 3000 + "}", '{"a": 1', "[1]", "", "9" * 5000])
+def test_unreadable_is_not_fatal(bad):
+    assert schema_drift.readable(bad) is None
+
+
+def test_odd_numbers_and_texts_are_read():
+    o = schema_drift.readable('{"a": 1e999, "b": -1e999, "c": 0.0, "d": "\\ud800", "e": [[1, [2]], "x"], "f": ' + "7" * 400 + "}")
+    assert all(schema_drift.tokens(v) for v in o.values())
+    assert schema_drift.readable("{" + '"k": "[[[[{{{{' + "[" * 500 + '"}') is not None
+
+
+def test_scores_decide(spark, monkeypatch):
+    landed = spark.read.parquet("/root/testdata/sf0.001/landed_records.parquet")
+    rows = lambda: sorted(map(tuple, schema_drift.changes(schema_drift.profiles(landed)).collect()))
+    right = rows()
+    flood = schema_drift.flood
+    monkeypatch.setattr(schema_drift, "flood", lambda a, b: (flood(a, b)[0], flood(a, b)[1] * 0))
+    assert any(r[2] == "renamed" for r in right) and rows() != right
