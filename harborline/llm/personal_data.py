@@ -1,18 +1,20 @@
 """Personal data in free text: contextual extraction bootstrapped from seed entities.
 
-Each text is parsed into mentions: candidates for names, numbers and addresses, with an instance (folded word, shape of a
-number, street word) and the lexical patterns around it. Pattern-instance pairs are counted over all texts. Seeds (words of
-email addresses and words after a title; numbers with an international prefix or a label; addresses with a common street
-word) make patterns trusted, trusted patterns make further instances known, and so on for some rounds of joins and
-aggregations. Mentions of known instances are then put together to items.
+Each text is parsed into mentions: candidates for names, numbers, addresses and email addresses, with an instance (folded
+word, shape of a number, street word, form and domain of an email address) and the lexical patterns around it.
+Pattern-instance pairs are counted over all texts. Seeds (words of email addresses and words after a title; numbers with an
+international prefix or a label; addresses in a street, road or avenue; email addresses written plainly) make patterns
+trusted, trusted patterns make further instances known, and so on in joins and aggregations until nothing changes.
+Mentions of known instances are then put together to items, unless the pattern before a number speaks against its type.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import warnings
 from bisect import bisect_left
-from functools import lru_cache
+from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -23,10 +25,17 @@ from harborline.operators.lookup import lookup
 from harborline.session import materialize
 
 TEXTS = ["delivery_instructions", "delivery_notes", "failure_notes"]
-#: Rounds of bootstrapping; share of known mentions that makes a pattern trusted, by kind; share of an instance's mentions in trusted patterns that makes it known.
-ROUNDS, TRUST, KNOWN = 4, {"name": 0.85, "PHONE": 0.12, "ID_NUMBER": 0.12, "address": 0.6}, {"name": 0.6, "PHONE": 0.4, "ID_NUMBER": 0.4, "address": 0.6}
-#: Mentions that a pattern needs at least.
-SUPPORT = 4
+#: Share of known mentions that makes a pattern trusted, by kind; share of an instance's mentions in trusted patterns that makes it known.
+TRUST = {"name": 0.85, "PHONE": 0.12, "ID_NUMBER": 0.12, "address": 0.04, "email": 0.04}
+KNOWN = {"name": 0.6, "PHONE": 0.4, "ID_NUMBER": 0.4, "address": 0.3, "email": 0.3}
+#: Mentions that a pattern needs at least; rounds after which a set of known instances that still changes is taken with a warning.
+SUPPORT, MOST_ROUNDS = 4, 50
+#: A number isn't of its shape's type where the words before it, seen so often at least, hold that type in a lesser share.
+REFUTING, REFUTED = 20, 0.02
+#: Digits that a phone or identity number has at least.
+LEAST_DIGITS = 6
+#: Entries of a task's table of pairs before it is handed on.
+PAIRS = 200_000
 
 # General words, not taken from any one text
 _TITLES = "mr mrs ms miss mx dr prof herr frau sr sra srta señor señora don doña monsieur madame mme mlle signor signora dhr mevr"
@@ -41,6 +50,7 @@ _STREET = (
 )
 _STREET_ENDS = "straße strasse str. weg gasse platz allee damm ufer ring laan straat plein kade gracht dreef steeg"
 _STREET_STARTS = "rue avenue boulevard calle avenida av. paseo plaza camino carrera via viale piazza corso rua travessa place chemin allée quai"
+_SEED_STREETS = {"street", "st", "road", "rd", "avenue", "ave"}
 _UNIT = "flat apt apartment unit suite ste room floor"
 _LABELS = (
     r"ssn|social(?: security)?(?: (?:no\.?|number))?|passport(?: (?:no\.?|number))?|national id(?: (?:no\.?|number))?|id card(?: (?:no\.?|number))?|tax id|tin|nif|nie|dni|nino|ni|national insurance(?: (?:no\.?|number))?"
@@ -75,7 +85,13 @@ NUMBER = re.compile(
     rf"|(?<![\w*#/.-])(?=[\w-]*\d[\w-]*\d[\w-]*\d)[a-z0-9][\w-]*[a-z0-9](?![\w#*])"
     rf"|\b(?:(?:{_ALT(_DIGIT_WORDS)})[\s-]+){{6,}}(?:{_ALT(_DIGIT_WORDS)})\b"
 )
-_LABELLED = re.compile(rf"(?i)(?<![\w'])(?:{_LABELS})\.?\s*[:#]?\s*$")
+_LABEL = re.compile(rf"(?i)(?<![\w'])(?:{_LABELS})\.?\s*[:#]?\s*")
+#: What a text must hold for there to be an email address, or a number in words.
+_AT = re.compile(r"(?is)@|[(\[{]\s*at\s*[)\]}]|\bat\b.*?\bdot\b")
+_SPOKEN = re.compile(rf"(?i)\b(?:{_ALT(_DIGIT_WORDS)})[\s-]+(?:{_ALT(_DIGIT_WORDS)})\b")
+_DIGIT = re.compile(r"\d")
+_LOCAL_END = re.compile(r"(?i)\s*@\s*|\s*[(\[{]\s*at\s*[)\]}]\s*|\s+at\s+")
+_STREET_WORDS = re.compile(rf"(?i)(?<![\w'])(?:{_ALT(_STREET)}|{_ALT(_STREET_STARTS)})(?![\w'])|(?:{_ALT(_STREET_ENDS)})(?=,?\s)")
 _TITLE_SET, _FIRM_SET = set(_TITLES.split()), set(_FIRM.split())
 _TOKEN = re.compile(r"[^\W\d_][\w]*(?:['’][^\W\d_]\w+)*")
 #: What may stand between a name and the firm word behind it: no number and no end of a sentence.
@@ -83,11 +99,19 @@ _FIRM_GAP = re.compile(r"(?!.*[.\n]\s)[^\W\d_\s&'’.-]*(?:[\s&'’.-]+[^\W\d_]*
 _CONTEXT = re.compile(r"[^\W\d_][\w'’]*|\d+|[()+&/:;,.\n]")
 
 
-@lru_cache(maxsize=1 << 16)
+_FOLDED: dict[str, str] = {}
+
+
 def fold(word: str) -> str:
     """A word without case, accents and apostrophes."""
-    plain = unicodedata.normalize("NFKD", word.replace("ß", "ss"))
-    return re.sub(r"[^a-z0-9]", "", "".join(c for c in plain if not unicodedata.combining(c)).lower())
+    folded = _FOLDED.get(word)
+    if folded is None:
+        plain = unicodedata.normalize("NFKD", word.replace("ß", "ss"))
+        folded = re.sub(r"[^a-z0-9]", "", "".join(c for c in plain if not unicodedata.combining(c)).lower())
+        if len(_FOLDED) >= 1 << 16:
+            _FOLDED.clear()
+        _FOLDED[word] = folded
+    return folded
 
 
 def shape(number: str) -> str:
@@ -114,6 +138,20 @@ class _Words:
         return self.words[k : k + n]
 
 
+def mail_instance(found: str) -> str:
+    """Form of the at sign and domain of an email address."""
+    m = _LOCAL_END.search(found)
+    form = "@" if m[0] == "@" else re.sub(r"[^@()\[\]{}a-z]", "", m[0].lower().replace(" ", "_")) + ("" if m[0].strip() == m[0] else " spaced")
+    labels = [x for x in re.split(_DOT, found[m.end() :], flags=re.IGNORECASE) if x]
+    return f"{form} {'.'.join(labels).lower()}"
+
+
+def street_instance(found: str) -> str:
+    """The word that makes a street of an address: the last one that a list names."""
+    words = _STREET_WORDS.findall(found.lower())
+    return words[-1].strip(".") if words else "street"
+
+
 def mentions(text: str) -> list[tuple]:
     """(kind, start, end, instance, patterns, seed, gap) of a text in order; gap is the text since the name word before."""
     taken: list[tuple[int, int]] = []
@@ -123,31 +161,38 @@ def mentions(text: str) -> list[tuple]:
     def free(a: int, b: int) -> bool:
         return all(b <= x or a >= y for x, y in taken)
 
+    def contexts(a: int, b: int) -> list[str]:
+        left, right = around.before(a), around.after(b)
+        return ["L2 " + " ".join(left), "L1 " + (left or [""])[-1], f"L1R1 {(left or [''])[-1]} _ {(right or [''])[0]}"]
+
     names = []
-    for m in EMAIL.finditer(text):
+    for m in EMAIL.finditer(text) if _AT.search(text) else ():
         taken.append(m.span())
-        out.append(("EMAIL", *m.span(), "", [], "EMAIL", ""))
-        local = re.split(r"(?i)\s*@|\s*[(\[{]\s*at|\s+at\s", m[0])[0].split("+")[0]
+        instance = mail_instance(m[0])
+        out.append(("email", *m.span(), instance, contexts(*m.span()), "email" if instance.startswith("@ ") else "", ""))
+        local = _LOCAL_END.split(m[0])[0].split("+")[0]
         names += [fold(x) for x in re.split(r"[\W\d_]+", local) if len(x) > 2]
     for m in [*URL.finditer(text), *BRACKETED.finditer(text)]:
         taken.append(m.span())
-    for m in ADDRESS.finditer(text):
+    digits = _DIGIT.search(text) is not None
+    for m in ADDRESS.finditer(text) if digits else ():
         if free(*m.span()):
             taken.append(m.span())
-            out.append(("address", *m.span(), "street", ["L2 " + " ".join(around.before(m.start()))], "STREET_ADDRESS", ""))
-    for m in UNSEEN_ADDRESS.finditer(text):
+            instance = street_instance(m[0])
+            out.append(("address", *m.span(), instance, contexts(*m.span()), "address" if instance in _SEED_STREETS else "", ""))
+    for m in UNSEEN_ADDRESS.finditer(text) if digits else ():
         if free(*m.span()) and not (set(re.findall(r"[a-z]+", m[0].lower())) & (_STOP | set(_UNIT.split()))):
-            word = max(re.findall(r"[^\W\d_]+", m[0]), key=len).lower()
-            out.append(("address", *m.span(), "word " + word[-4:], ["L2 " + " ".join(around.before(m.start()))], "", ""))
-    for m in NUMBER.finditer(text):
+            word = re.findall(r"[^\W\d_]{3,}", m[0])
+            out.append(("address", *m.span(), "word " + fold(word[-1] if word else m[0]), contexts(*m.span()), "", ""))
+    labels = {m.end(): m.start() for m in _LABEL.finditer(text)} if digits else {}
+    for m in NUMBER.finditer(text) if digits or _SPOKEN.search(text) else ():
         a, b = m.span()
-        digits = sum(c.isdigit() for c in m[0])
-        if not free(a, b) or (digits < 6 and not m[0][0].isalpha()):
+        n = sum(c.isdigit() for c in m[0])
+        if not free(a, b) or (n < LEAST_DIGITS and not m[0][0].isalpha()):
             continue
         s = shape(m[0])
-        labelled = _LABELLED.search(text, max(0, a - 40), a)
-        seed = "ID_NUMBER" if labelled else "PHONE" if s.startswith(("+", "tel:")) and 9 <= digits <= 15 else ""
-        left, right = around.before(labelled.start() if labelled else a), around.after(b)
+        seed = "ID_NUMBER" if a in labels else "PHONE" if s.startswith(("+", "tel:")) and 9 <= n <= 15 else ""
+        left, right = around.before(labels.get(a, a)), around.after(b)
         taken.append((a, b))
         out.append(("number", a, b, s, ["L2 " + " ".join(left), f"L1R1 {(left or [''])[-1]} _ {(right or [''])[0]}"], seed, ""))
     last = 0
@@ -179,23 +224,39 @@ def mentions(text: str) -> list[tuple]:
     return out
 
 
-_MENTION = "record_id bigint, field_name string, text_no bigint, kind string, first int, last int, instance string, patterns array<string>, seed string, gap string"
-
-
 _ARROW = pa.schema([
     ("record_id", pa.int64()), ("field_name", pa.string()), ("text_no", pa.int64()), ("kind", pa.string()), ("first", pa.int32()), ("last", pa.int32()),
-    ("instance", pa.string()), ("patterns", pa.list_(pa.string())), ("seed", pa.string()), ("gap", pa.string()),
+    ("instance", pa.string()), ("pattern", pa.string()), ("gap", pa.string()), ("counted", pa.string()), ("n", pa.int64()),
 ])
+_MENTION = "record_id bigint, field_name string, text_no bigint, kind string, first int, last int, instance string, pattern string, gap string, counted string, n bigint"
 
 
 def _parse(batches):
+    """A row per mention (with the pattern before it, but for names), and rows of counts: `counted` is pair, mention or seed and its type."""
+    count: Counter = Counter()
+
+    def counts():
+        rows = [(None, None, None, kind, None, None, instance, pattern, None, what, n) for (what, kind, instance, pattern), n in count.items()]
+        count.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * len(_ARROW), _ARROW)], schema=_ARROW)
+
     for batch in batches:
         columns: list[list] = [[] for _ in _ARROW]
         for key in zip(*(batch.column(c).to_pylist() for c in ("record_id", "field_name", "text_no", "text"))):
-            for m in mentions(key[3]):
-                for c, v in zip(columns, (*key[:3], *m)):
-                    c.append(v)
+            for kind, first, last, instance, patterns, seed, gap in mentions(key[3]):
+                if kind not in ("seed", "firm"):
+                    count["mention", kind, instance, None] += 1
+                    for p in patterns:
+                        count["pair", kind, instance, p] += 1
+                if seed:
+                    count["seed " + seed, "name" if kind == "seed" else kind, instance, None] += 1
+                if kind != "seed":
+                    for c, v in zip(columns, (*key[:3], kind, first, last, instance, patterns[0] if kind not in ("name", "firm") else None, gap, None, None)):
+                        c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+        if len(count) >= PAIRS:
+            yield counts()
+    yield counts()
 
 
 def texts(records: DataFrame) -> DataFrame:
@@ -205,34 +266,54 @@ def texts(records: DataFrame) -> DataFrame:
     return rows.withColumn("text_no", F.xxhash64("text"))
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(key, type): the instances known after some rounds, from pattern-instance counts over all mentions.
+def _by_type(values: dict[str, float]):
+    return F.expr("CASE type " + " ".join(f"WHEN '{t}' THEN {v}" for t, v in values.items()) + " END")
+
+
+def _pattern_shares(graph: DataFrame, known: DataFrame) -> DataFrame:
+    """(kind, pattern, type, share, support): the share of a pattern's mentions that are of known instances."""
+    key = lambda c: F.concat_ws("\t", "kind", c, "type")
+    marked = lookup(graph.withColumn("_k", key("instance")), known.select(key("instance").alias("_k"), F.lit(1).alias("hit")), "_k", "pattern")
+    return marked.groupBy("kind", "pattern", "type").agg((F.sum(F.when(F.col("hit") == 1, F.col("n")).otherwise(0)) / F.sum("n")).alias("share"), F.sum("n").alias("support"))
+
+
+def bootstrap(found: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Known instances (key, type) and pattern shares (kind, pattern, type, share, support), from counts over all mentions.
 
-    The graph has a row per distinct pattern and instance, so its size follows the vocabulary, not the texts.
+    Runs until the known instances stay as they are, or for `rounds`. The graph has a row per distinct pattern and
+    instance, so its size follows the vocabulary, not the texts; frequent instances and patterns are never joined by their bare keys.
     """
-    graph = found.where("kind IN ('name', 'number', 'address')").select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
-    graph = materialize(graph.groupBy("kind", "instance", "pattern").agg(F.count("*").alias("n")), "graph")
-    families = F.expr("CASE kind WHEN 'name' THEN array('name') WHEN 'number' THEN array('PHONE', 'ID_NUMBER') WHEN 'address' THEN array('address') END")
+    count = lambda what: found.where(F.col("counted").startswith(what))
+    graph = materialize(count("pair").groupBy("kind", "instance", "pattern").agg(F.sum("n").alias("n")), "graph")
+    families = F.expr("CASE kind WHEN 'number' THEN array('PHONE', 'ID_NUMBER') ELSE array(kind) END")
     graph = graph.withColumn("type", F.explode(families))
-    seeded = found.where("seed <> ''").select(F.expr("CASE WHEN kind IN ('seed', 'name') THEN 'name' ELSE kind END").alias("kind"), "instance", F.expr("CASE seed WHEN 'STREET_ADDRESS' THEN 'address' ELSE seed END").alias("type"))
-    totals = found.where("kind IN ('name', 'number', 'address')").groupBy("kind", "instance").agg(F.count("*").alias("m"))
-    seeded = seeded.where("type <> 'EMAIL'").groupBy("kind", "instance", "type").agg(F.count("*").alias("s"))
+    totals = count("mention").groupBy("kind", "instance").agg(F.sum("n").alias("m"))
+    seeded = count("seed").groupBy("kind", "instance", F.substring_index("counted", " ", -1).alias("type")).agg(F.sum("n").alias("s"))
     # a shape is a seed where a fair share of its mentions is; a word needs two witnesses, as anything may stand in an address
-    known = seeded.join(totals, ["kind", "instance"]).where("CASE kind WHEN 'name' THEN s >= 2 AND s >= 0.02 * m ELSE s >= 0.05 * m END").select("kind", "instance", "type", F.lit(True).alias("is_seed"))
-    known = materialize(known, "known")
-    seeds = known
-    by_type = lambda values: F.expr("CASE type " + " ".join(f"WHEN '{t}' THEN {v}" for t, v in values.items()) + " END")
-    for _ in range(rounds):
-        marked = graph.join(known.drop("is_seed").withColumn("hit", F.lit(1)), ["kind", "instance", "type"], "left")
-        trust = marked.groupBy("kind", "pattern", "type").agg((F.sum(F.expr("CASE WHEN hit = 1 THEN n ELSE 0 END")) / F.sum("n")).alias("share"), F.sum("n").alias("support"))
-        trusted = trust.where((F.col("share") >= by_type(TRUST)) & (F.col("support") >= SUPPORT)).select("kind", "pattern", "type", F.lit(1).alias("ok"))
-        scored = graph.join(trusted, ["kind", "pattern", "type"], "left").groupBy("kind", "instance", "type").agg((F.sum(F.expr("CASE WHEN ok = 1 THEN n ELSE 0 END")) / F.sum("n")).alias("share"))
+    known = seeded.join(totals, ["kind", "instance"]).where("CASE kind WHEN 'name' THEN s >= 2 AND s >= 0.02 * m ELSE s >= 0.05 * m END").select("kind", "instance", "type")
+    known = seeds = materialize(known, "known")
+    key = lambda c: F.concat_ws("\t", "kind", c, "type")
+    done, before = 0, None
+    while rounds is None or done < rounds:
+        judged = _pattern_shares(graph, known).where(F.col("support") >= SUPPORT)
+        judged = judged.select(key("pattern").alias("_k"), (F.col("share") >= _by_type(TRUST)).alias("ok"))
+        scored = lookup(graph.withColumn("_k", key("pattern")), judged, "_k", "instance")
+        # addresses come in few patterns, so that rare ones say nothing about them
+        counts = F.when(F.col("kind").isin("name", "number") | F.col("ok").isNotNull(), F.col("n"))
+        scored = scored.groupBy("kind", "instance", "type").agg(F.try_divide(F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)), F.sum(counts)).alias("share"))
         # a seed must be borne out by its contexts as well, though less
-        scored = scored.join(seeds, ["kind", "instance", "type"], "left")
-        held = scored.where((F.col("share") >= by_type(KNOWN)) | (F.col("is_seed") & (F.col("share") >= 0.25 * by_type(KNOWN))))
-        best = held.groupBy("kind", "instance").agg(F.max_by("type", "share").alias("type"))
-        known = materialize(best.withColumn("is_seed", F.lit(False)), "known")
-    return known.select(F.concat_ws(" ", "kind", "instance").alias("key"), "type")
+        scored = scored.join(seeds.withColumn("is_seed", F.lit(True)), ["kind", "instance", "type"], "left")
+        held = scored.where((F.col("share") >= _by_type(KNOWN)) | (F.col("is_seed") & (F.col("share") >= 0.25 * _by_type(KNOWN))))
+        known = materialize(held.groupBy("kind", "instance").agg(F.max_by("type", "share").alias("type")), "known")
+        done += 1
+        state = known.agg(F.count("*"), F.sum(F.xxhash64("kind", "instance", "type").cast("decimal(20,0)"))).first()
+        if state == before:
+            break
+        before = state
+        if done >= MOST_ROUNDS:
+            warnings.warn(f"known instances still change after {done} rounds", stacklevel=2)
+            break
+    return known.select(F.concat_ws(" ", "kind", "instance").alias("key"), "type"), _pattern_shares(graph, known)
 
 
 _FAMILY_FIRST = re.compile(r"\s*,\s+")
@@ -265,7 +346,7 @@ def assemble(found: list) -> list[tuple[str, int, int, int]]:
                     run.extend([a, b, int(word not in _TITLE_SET), [word]])
             last = b
         elif kind == "address":
-            if word == "street" or all(b <= x or a >= y for x, y in solid if (x, y) != (a, b)):
+            if not word.startswith("word ") or all(b <= x or a >= y for x, y in solid if (x, y) != (a, b)):
                 items.append(["STREET_ADDRESS", a, b])
         else:
             items.append([kind, a, b])
@@ -289,10 +370,14 @@ def items(records: DataFrame) -> DataFrame:
     """
     put = F.pandas_udf(_put_together, "array<struct<pii_type: string, item_no: int, first: int, last: int>>")
     found = materialize(texts(records).mapInArrow(_parse, _MENTION), "mentions")
-    known = bootstrap(found)
-    here = found.where("kind <> 'seed'").select("record_id", "field_name", "text_no", "kind", "first", "last", "instance", "gap", F.concat_ws(" ", "kind", "instance").alias("key"))
+    known, shares = bootstrap(found)
+    here = found.where("counted IS NULL").select("record_id", "field_name", "text_no", "kind", "first", "last", "instance", "pattern", "gap", F.concat_ws(" ", "kind", "instance").alias("key"))
     typed = lookup(here, known, "key", "record_id")
-    typed = typed.withColumn("type", F.expr("CASE WHEN kind = 'EMAIL' THEN 'EMAIL' WHEN kind IN ('name', 'firm') AND (type IS NULL OR kind = 'firm') THEN 'word' ELSE type END")).where("type IS NOT NULL")
+    typed = typed.withColumn("type", F.expr("CASE WHEN kind IN ('name', 'firm') AND (type IS NULL OR kind = 'firm') THEN 'word' WHEN kind = 'email' AND type IS NOT NULL THEN 'EMAIL' ELSE type END")).where("type IS NOT NULL")
+    # the words before a number may speak against the type of its shape
+    refuted = shares.where((F.col("kind") == "number") & (F.col("support") >= REFUTING) & (F.col("share") < REFUTED))
+    refuted = refuted.select(F.concat_ws("\t", "type", "pattern").alias("_at"), F.lit(True).alias("refuted"))
+    typed = lookup(typed.withColumn("_at", F.when(F.col("kind") == "number", F.concat_ws("\t", "type", "pattern"))), refuted, "_at", "record_id").where("refuted IS NULL")
     grouped = typed.groupBy("record_id", "field_name", "text_no").agg(F.collect_set(F.struct("type", "first", "last", "gap", "instance")).alias("found"))
     grouped = grouped.where(F.exists("found", lambda x: x["type"] != "word"))
     return grouped.select("record_id", "field_name", "text_no", F.explode(put("found")).alias("x")).select("record_id", "field_name", "text_no", "x.*")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -52,11 +51,19 @@ def sentences(text: str) -> list[list[str]]:
 _ABSTRACT = ("tion", "tions", "ity", "ment", "ments", "ance", "ence", "ism")
 
 
-@lru_cache(maxsize=1 << 17)
+_KNOWN_WORDS: dict[str, tuple[int, int, int, int, int, int]] = {}
+
+
 def _word(word: str) -> tuple[int, int, int, int, int, int]:
     """Letters, syllables, and whether a lower-case word is a function, joining, subordinating or abstract one."""
-    syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
-    return len(word), syllables, word in _ENGLISH, word in _COORDINATE, word in _SUBORDINATE, word.endswith(_ABSTRACT)
+    found = _KNOWN_WORDS.get(word)
+    if found is None:
+        syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
+        found = len(word), syllables, word in _ENGLISH, word in _COORDINATE, word in _SUBORDINATE, word.endswith(_ABSTRACT)
+        if len(_KNOWN_WORDS) >= 1 << 17:
+            _KNOWN_WORDS.clear()
+        _KNOWN_WORDS[word] = found
+    return found
 
 
 def is_english_prose(text: str | None, least: int = LEAST_WORDS) -> bool:

@@ -60,3 +60,33 @@ def test_nulls_repeats_and_empty(spark):
 def test_shapes():
     assert personal_data.shape("QQ 12 34 56 C") == "AA 99 99 99 A" and personal_data.shape("tel:+15550100") == "tel:+99999999"
     assert personal_data.fold("O'Dünmore-ß") == "odunmoress"
+
+
+def test_rounds_find_other_forms_and_streets(spark, monkeypatch):
+    df = frame(spark, [t for t, _ in corpus()])
+    kinds = lambda: Counter(r.pii_type for r in personal_data.items(df).select("pii_type").collect())
+    whole = kinds()
+    bootstrap = personal_data.bootstrap
+    monkeypatch.setattr(personal_data, "bootstrap", lambda found: bootstrap(found, rounds=0))
+    seeds = kinds()
+    assert seeds["EMAIL"] < 0.6 * whole["EMAIL"] and seeds["STREET_ADDRESS"] < 0.6 * whole["STREET_ADDRESS"]
+
+
+def test_words_before_a_number_decide(spark):
+    # a number of a phone's shape behind words that never stand before phones is none
+    r = random.Random(3)
+    number = lambda: f"{r.randrange(200, 999)} 555 01{r.randrange(10, 99)}"
+    texts = [f"Please call {number()} before noon" for _ in range(300)] + [f"Tel: +1 {number()} rings, please call +1 {number()} before noon" for _ in range(100)]
+    texts += [f"Stock order {r.randrange(10**7, 10**8)} in aisle" for _ in range(3000)] + [f"Stock order {number()} in aisle" for _ in range(5)]
+    found = {x.record_id for x in personal_data.items(frame(spark, texts)).collect()}
+    assert len(found & set(range(400))) == 400 and not found & set(range(400, len(texts)))
+
+
+def test_labels_at_any_distance():
+    (m,) = [m for m in personal_data.mentions("Showed passport number" + " " * 200 + ": 123-45-6789 ok") if m[0] == "number"]
+    assert m[5] == "ID_NUMBER"
+
+
+def test_instances():
+    assert personal_data.mail_instance("a.b (at) mail (dot) example") == "(at) spaced mail.example" and personal_data.mail_instance("a@b.c") == "@ b.c"
+    assert personal_data.street_instance("12 N. Kel Road.") == "road" and personal_data.street_instance("Dunstraße 4") == "straße" and personal_data.street_instance("21 rue de Vel") == "rue"
