@@ -34,11 +34,28 @@ def domain_errors() -> list[Column]:
     return [_error((d == x) & ~has(f"{x}_id") & ~has(f"{x}Id"), f"{x}_id", f"{x} events need {x}_id", "MISSING_DOMAIN_FIELD") for x in DOMAINS]
 
 
+#: Keywords with an effect, and annotations without one.
+_KEYWORDS = set("type enum pattern minLength maxLength minimum maximum exclusiveMinimum exclusiveMaximum required properties $ref".split())
+_KEYWORDS |= set("$schema $id $comment title description default examples format definitions $defs".split())
+
+
+def _by_kind(values: list) -> dict[str, list]:
+    """Members of an enum by JSON type."""
+    out: dict[str, list] = {}
+    for v in values:
+        k = "null" if v is None else "boolean" if isinstance(v, bool) else "number" if isinstance(v, (int, float)) else "string" if isinstance(v, str) else None
+        if k is None:
+            raise ValueError("an enum of arrays or objects isn't supported")
+        out.setdefault(k, []).append(v)
+    return out
+
+
 def compile_schema(schema: dict, root: Column) -> list[Column]:
     """Errors of a variant against a JSON Schema: type, required, properties, enum, pattern, minimum, maximum, exclusiveMinimum, exclusiveMaximum, minLength, maxLength, $ref.
 
-    A keyword counts only where the node has the JSON type it speaks of, and where the node exists. `format` and
-    `default` have no effect. An integer may be written with a zero fraction.
+    A keyword counts only where the node has the JSON type it speaks of, and where the node exists. Annotations and
+    `format` have no effect; any other keyword is refused. An integer may be written with a zero fraction; members of an
+    enum are texts, numbers, booleans or null and count by JSON type.
     """
     out: list[Column] = []
 
@@ -48,6 +65,9 @@ def compile_schema(schema: dict, root: Column) -> list[Column]:
             for part in node["$ref"].lstrip("#/").split("/"):
                 target = target[part]
             node = target
+        unknown = set(node) - _KEYWORDS
+        if unknown:
+            raise ValueError(f"keywords that aren't supported at {'.'.join(path) or 'root'}: {', '.join(sorted(unknown))}")
         where = "$" + "".join(f"['{p}']" for p in path)
         name = ".".join(path) or "root"
         here = F.try_variant_get(root, where, "variant") if path else root
@@ -64,8 +84,11 @@ def compile_schema(schema: dict, root: Column) -> list[Column]:
                 fits = fits | ((is_("number") & (number == F.floor(number))) if t == "integer" else is_(t))
             add(kind.isNotNull() & ~fits, f"is not of type {' or '.join(allowed)}")
         if "enum" in node:
-            values = [v for v in node["enum"] if isinstance(v, str)]
-            add(kind.isNotNull() & ~(is_("string") & text.isin(values)), "is none of the listed values")
+            listed = F.lit(False)
+            for k, values in _by_kind(node["enum"]).items():
+                same = {"string": lambda v: text.isin(v), "number": lambda v: number.isin([float(x) for x in v]), "boolean": lambda v: text.isin([str(x).lower() for x in v]), "null": lambda v: F.lit(True)}[k]
+                listed = listed | (is_(k) & F.coalesce(same(values), F.lit(False)))
+            add(kind.isNotNull() & ~listed, "is none of the listed values")
         if "pattern" in node:
             add(is_("string") & ~text.rlike(node["pattern"]), f"does not match {node['pattern']}")
         for word, bad in (("minLength", lambda n: F.char_length(text) < n), ("maxLength", lambda n: F.char_length(text) > n)):

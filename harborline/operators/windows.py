@@ -26,7 +26,18 @@ def _counted(grouped, keys: list[str], window: str = "window", more: Column | No
     return grouped.agg(F.count("*").alias("n")).select(*keys, F.col(f"{window}.start").alias("window_start"), end.alias("window_end"), "n")
 
 
-def panes(deltas: DataFrame, keys: list[str], watermark: Column) -> DataFrame:
-    """Per-batch window counts tagged as early, on_time or late against the watermark reached so far (discarding panes: consumers sum them)."""
-    pane = F.when(watermark < F.col("window_end"), "early").when(F.col("previous_watermark") < F.col("window_end"), "on_time").otherwise("late")
-    return deltas.withColumn("pane", pane)
+def everlasting(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per key over all time."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def panes(deltas: DataFrame, watermark: Column, lateness_s: int = 86_400) -> DataFrame:
+    """Per-batch window counts tagged as early, on_time or late (discarding panes: consumers sum them).
+
+    watermark: reached with this batch; the column previous_watermark (null for the first batch) before it. Windows that
+    ended more than the lateness before that are dropped.
+    """
+    before = F.coalesce(F.col("previous_watermark") < F.col("window_end"), F.lit(True))
+    pane = F.when(watermark < F.col("window_end"), "early").when(before, "on_time").otherwise("late")
+    open_ = F.coalesce(F.col("window_end") + F.make_dt_interval(secs=F.lit(lateness_s)) > F.col("previous_watermark"), F.lit(True))
+    return deltas.where(open_).withColumn("pane", pane)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.functions import envelope, jsontext
+from harborline.functions import envelope, jsontext, masking
+from harborline.sources import sinks
+from harborline.types import GOLD
 
 _P = lambda path: jsontext.scalar(F.col("payload"), f"$.{path}")
 _TIME = lambda path: F.regexp_replace(_P(path), "Z", "+00:00").try_cast("timestamp")
@@ -71,6 +75,53 @@ def carrier_tuples(events: DataFrame) -> DataFrame:
     return events.where("carrier_id IS NOT NULL").groupBy("carrier_id", *[_P(c).alias(c) for c in ("carrier_name", "carrier_type", "scac_code")]).agg(F.max("event_time").alias("last_updated")).withColumn("is_active", F.lit(True))
 
 
+def driver_tuples(events: DataFrame, key: bytes) -> DataFrame:
+    """Distinct drivers of driver events: the name only as a keyed hash; active unless unavailable or off duty for good."""
+    name = F.concat_ws(" ", _P("first_name"), _P("last_name"))
+    return events.where(_P("driver_id").isNotNull()).groupBy(
+        _P("driver_id").alias("driver_id"), F.when(name != "", masking.token(F.lower(name), key)).alias("driver_name_hash"), *[_P(c).alias(c) for c in ("carrier_id", "home_facility_id", "license_type")],
+        (F.coalesce(_P("status"), F.lit("available")) != "unavailable").alias("is_active"),
+    ).agg(F.max("event_time").alias("last_updated"))
+
+
+def build_day(spark: SparkSession, out: str, events: DataFrame, day: str, attempts: Callable = lambda task: task()) -> dict[str, bool]:
+    """The gold tables of a day, in order: source checks, dimensions, facts, quality checks; returns the checks' results.
+
+    A failed source check raises before anything is written, a failed quality check after. A day built again replaces
+    itself: facts by partition, each day's state of a dimension under its day, made from the state of the day before.
+    attempts: runs each step, for retries.
+    """
+    of_day = lambda df: df.where(F.to_date("event_time") == F.lit(day).cast("date"))
+    sources = attempts(lambda: source_checks(events, day).first().asDict())
+    if not all(sources.values()):
+        raise RuntimeError(f"sources of {day} fail their checks: {sources}")
+    seen = {
+        "dim_facility": (facility_tuples(of_day(events.where(envelope.domain(F.col("event_type")) == "facility"))), "facility_id", ["facility_name", "facility_type", "is_active"], True),
+        "dim_carrier": (carrier_tuples(of_day(events.where(envelope.domain(F.col("event_type")) == "shipment"))), "carrier_id", [], False),
+    }
+    for name, (tuples, key, compared, close) in seen.items():
+        earlier = _latest_before(spark, f"{out}/{name}", day)
+        dim = spark.read.schema(GOLD[name]).parquet(earlier) if earlier else spark.createDataFrame([], GOLD[name])
+        attempts(lambda: merge_history(dim, tuples, key, compared, full=True, close=close).write.mode("overwrite").parquet(f"{out}/{name}/as_of={day}"))
+    events_of_shipments = fact_shipment_events(events.where(envelope.domain(F.col("event_type")) == "shipment"), day)
+    attempts(lambda: sinks.write_gold(fact_deliveries(events, day), f"{out}/fact_deliveries", "delivery_date"))
+    attempts(lambda: sinks.write_gold(events_of_shipments, f"{out}/fact_shipment_events", "event_date"))
+    facts = spark.read.parquet(f"{out}/fact_deliveries").where(F.col("delivery_date") == F.lit(day).cast("date"))
+    quality = attempts(lambda: quality_checks(facts, day).first().asDict())
+    if not all(quality.values()):
+        raise RuntimeError(f"facts of {day} fail their checks: {quality}")
+    return sources | quality
+
+
+def _latest_before(spark: SparkSession, path: str, day: str) -> str | None:
+    """The folder as_of=DAY of the latest day before `day`."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    earlier = [n for n in names if n.startswith("as_of=") and n[6:] < day]
+    return f"{path}/{max(earlier)}" if earlier else None
+
+
 def merge_history(dim: DataFrame, seen: DataFrame, key: str, compared: list[str], full: bool = False, close: bool = True) -> DataFrame:
     """dim after a merge of tuples `seen` (with last_updated) into its current rows.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,9 +110,13 @@ def facility_metrics(facts: DataFrame, facility_id: str | None = None, first: st
     return facts.groupBy("facility_id", "delivery_date").agg(*_metrics())
 
 
-def platform_daily(facts: DataFrame) -> DataFrame:
-    """Metrics per day over all facilities."""
-    return facts.groupBy("delivery_date").agg(F.count_distinct("shipment_id").alias("shipments"), *_metrics())
+def platform_daily(facts: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Metrics per day over all facilities; with events, also the failed deliveries of the day (of delivery.failed, by delivery)."""
+    rows = facts.groupBy("delivery_date").agg(F.count_distinct("shipment_id").alias("shipments"), *_metrics())
+    if events is None:
+        return rows
+    failed = events.where("event_type = 'delivery.failed'").groupBy(F.to_date("event_time").alias("delivery_date")).agg(F.count_distinct("delivery_id").alias("failed_deliveries"))
+    return rows.join(failed, "delivery_date", "full").fillna(0, ["shipments", "total_deliveries", "on_time_deliveries", "total_attempts", "failed_deliveries"]).fillna(0.0, ["on_time_rate"])
 
 
 def carrier_performance(facts: DataFrame, limit: int = 10) -> DataFrame:
@@ -127,12 +132,37 @@ def regional_summary(facts: DataFrame) -> DataFrame:
     return facts.groupBy("region_id").agg(F.count_distinct("facility_id").alias("facilities"), *_metrics())
 
 
-def shipments(events: DataFrame, status: str | None = None, carrier: str | None = None) -> DataFrame:
-    """One row per shipment: latest status and carrier, time of creation and of delivery."""
+def facility_day(facts: DataFrame, facility_id: str, as_of: str, day: str | None = None) -> dict | None:
+    """Metrics of a facility on a day, by default the one before `as_of`; None if it has no deliveries then."""
+    at = F.date_sub(F.to_date(_at(as_of)), 1) if day is None else F.lit(day).cast("date")
+    rows = facility_metrics(facts.where(F.col("delivery_date") == at), facility_id).collect()  # one row at most
+    return rows[0].asDict() if rows else None
+
+
+def shipment_events(facts: DataFrame, shipment_id: str, limit: int = 100) -> DataFrame:
+    """The first events of a shipment in order, 1 to 1000."""
+    if not 1 <= limit <= 1000:
+        raise ValueError("limit must be 1 to 1000")
+    return timeline(facts, shipment_id).limit(limit)
+
+
+def facilities(dim: DataFrame, facility_id: str | None = None, kind: str | None = None, active: bool | None = None, region: str | None = None) -> DataFrame:
+    """Current rows of a facility dimension, filtered by whatever is given; a dimension without is_current is current as a whole."""
+    rows = dim.where("is_current") if "is_current" in dim.columns else dim
+    for column, value in (("facility_id", facility_id), ("facility_type", kind), ("is_active", active), ("region_id", region)):
+        rows = rows if value is None else rows.where(F.col(column) == value)
+    return rows
+
+
+def shipments(events: DataFrame, status: str | None = None, carrier: str | None = None, shipment_id: str | None = None, first: str | None = None, last: str | None = None) -> DataFrame:
+    """One row per shipment: latest status and carrier, time of creation and of delivery; first and last bound the day of creation."""
+    events = events if shipment_id is None else events.where(F.col("shipment_id") == shipment_id)
     kind = lambda k: F.when(F.col("event_type") == f"shipment.{k}", F.col("event_time"))
     order = F.struct("event_time", "event_id")
     rows = events.groupBy("shipment_id").agg(F.max_by("status", order).alias("status"), F.max_by("carrier_id", order).alias("carrier_id"), F.min(kind("created")).alias("created_at"), F.max(kind("delivered")).alias("delivered_at"))
     rows = rows if status is None else rows.where(F.col("status") == status)
+    rows = rows if first is None else rows.where(F.to_date("created_at") >= F.lit(first).cast("date"))
+    rows = rows if last is None else rows.where(F.to_date("created_at") <= F.lit(last).cast("date"))
     return rows if carrier is None else rows.where(F.col("carrier_id") == carrier)
 
 
@@ -143,6 +173,22 @@ def page(rows: DataFrame, order: list[str], number: int = 1, size: int = 20) ->
     return rows.orderBy(*order).offset((number - 1) * size).limit(size), rows.count()
 
 
+def table_name(project: str, dataset: str, table: str) -> str:
+    """The quoted name of a table in the catalog."""
+    return ".".join(f"`{p.replace('`', '``')}`" for p in (project, dataset, table) if p)
+
+
+def retried(task: Callable, times: int = 2, wait_s: float = 300, sleep: Callable[[float], None] = time.sleep):
+    """The task's result; a failure is tried again `times` times, the last one is raised."""
+    for n in range(times + 1):
+        try:
+            return task()
+        except Exception:
+            if n == times:
+                raise
+            sleep(wait_s)
+
+
 def execute(spark: SparkSession, sql: str, **parameters) -> list[dict]:
     """Rows of a parameterised statement (named markers) as dictionaries."""
     return [r.asDict(recursive=True) for r in spark.sql(sql, args=parameters).collect()]

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 SCHEMA = "data binary, attributes map<string,string>"
 
 
-def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None, id_attribute: str | None = None, time_attribute: str = "event_time", lateness_s: int = 86_400) -> DataFrame:
-    """Messages from a folder of files as they arrive; with id_attribute, repeats of an id within the lateness are dropped."""
+def read_stream(spark: SparkSession, subscription: str | None = None, topic: str | None = None, files_per_trigger: int | None = None, id_attribute: str | None = None, time_attribute: str = "event_time", lateness_s: int = 86_400) -> DataFrame:
+    """Messages from a folder of files as they arrive; with id_attribute, repeats of an id within the lateness are dropped.
+
+    The folder is that of the subscription, else that of the topic.
+    """
+    path = subscription or topic
     if not path:
-        raise ValueError("a subscription or topic path is needed")
+        raise ValueError("a subscription or a topic is needed")
     reader = spark.readStream.schema(SCHEMA).format("parquet")
     df = (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(path)
     if id_attribute:

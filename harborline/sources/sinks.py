@@ -10,14 +10,14 @@ from harborline.operators.normalize import to_json_line
 from harborline.types import PROMOTED, silver
 
 
-def bronze_json(events: DataFrame, path: str, per_file: int = 10_000) -> None:
+def bronze_json(events: DataFrame, path: str, per_file: int = 10_000, mode: str = "append") -> None:
     """Envelopes as JSON lines under domain/event_date/hour."""
     d = envelope.domain(F.col("event_type"))
     cols = {"domain": d, "event_date": F.date_format("event_time", "yyyy-MM-dd"), "hour": F.date_format("event_time", "HH")}
     lines = to_json_line(events.select("event_id", "event_type", "event_version", "event_time", "ingest_time", "source_system", "payload", "trace_id"))
     parts = F.from_json("value", "event_type string, event_time timestamp")
     rows = lines.withColumn("_e", parts).select("value", envelope.domain(F.col("_e.event_type")).alias("domain"), F.date_format("_e.event_time", "yyyy-MM-dd").alias("event_date"), F.date_format("_e.event_time", "HH").alias("hour"))
-    rows.write.mode("append").option("maxRecordsPerFile", per_file).partitionBy(*cols).text(path)
+    rows.write.mode(mode).option("maxRecordsPerFile", per_file).partitionBy(*cols).text(path)
 
 
 def bronze_parquet(events: DataFrame, path: str, per_file: int = 1_000_000) -> None:

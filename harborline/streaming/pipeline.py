@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,8 @@ class Settings:
     dims: dict[str, DataFrame] = field(default_factory=dict)
     mask_key: bytes | None = None
     exempt: frozenset[str] = frozenset()
+    #: Events as JSON lines by domain, day and hour; messages just as they came, before anything is done to them.
+    bronze: bool = True
     raw_archive: bool = False
 
 
@@ -72,7 +76,8 @@ def write_batch(events: DataFrame, batch_id: int, settings: Settings) -> None:
     whole = f"{settings.out}/_finished/{batch_id}"
     done.write.mode("overwrite").partitionBy("route").parquet(whole)
     done = spark.read.schema(done.schema).parquet(whole)
-    sinks.bronze_json(done.drop("route"), f"{settings.out}/bronze/batch_id={batch_id}") if settings.raw_archive else None
+    if settings.bronze:
+        sinks.bronze_json(done.drop("route"), f"{settings.out}/bronze/batch_id={batch_id}", mode="overwrite")
     bronze = done.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
     bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("route", "event_date", "batch_id").parquet(f"{settings.out}/events")
     for d in DOMAINS:  # a domain's rows are one folder, which alone is read
@@ -81,7 +86,10 @@ def write_batch(events: DataFrame, batch_id: int, settings: Settings) -> None:
 
 
 def run(messages: DataFrame, settings: Settings, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Start the stream; without `every`, what is there now is processed and the query ends."""
+    """Start the stream; without `every`, what is there now is processed and the query ends. The raw archive is a stream of its own."""
+    if settings.raw_archive:
+        raw = messages.select("data", "attributes").writeStream.format("parquet").option("path", f"{settings.out}/raw").option("checkpointLocation", f"{checkpoint}-raw")
+        (raw.trigger(processingTime=every) if every else raw.trigger(availableNow=True)).start()
     writer = checked(messages, settings).writeStream.foreachBatch(lambda df, n: write_batch(df, n, settings)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
@@ -96,6 +104,53 @@ def replay(dead_letters: DataFrame) -> DataFrame:
     return dead_letters.select("data", "attributes")
 
 
-def window_deltas(batch: DataFrame, batch_id: int, keys: list[str], seconds: int = 300) -> DataFrame:
-    """Counts a micro-batch adds to each window (discarding panes); consumers sum over batch_id."""
-    return windows.tumbling(batch, keys, seconds).withColumn("batch_id", F.lit(batch_id).cast("long"))
+def attempted(write: Callable[[DataFrame, int], None], dead_path: str, most: int = 5, wait_s: tuple[float, float] = (10, 600), sleep: Callable[[float], None] = time.sleep) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that tries `write` up to `most` times, waiting longer each time; then the batch becomes dead letters.
+
+    Dead letters are (data, attributes) with the number of attempts and the error; they replace themselves if the batch
+    is repeated, and the stream goes on.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for attempt in range(1, most + 1):
+            try:
+                write(batch, batch_id)
+                return
+            except Exception as e:  # noqa: BLE001
+                said = type(e).__name__
+                if attempt < most:
+                    sleep(min(wait_s[1], wait_s[0] * 2 ** (attempt - 1)))
+        body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns]), {"ignoreNullFields": "false"}).cast("binary")
+        attributes = F.create_map(F.lit("delivery_attempt"), F.lit(str(most)), F.lit("error"), F.lit(said))
+        batch.select(body.alias("data"), attributes.alias("attributes")).write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+
+    return run
+
+
+def window_deltas(batch: DataFrame, batch_id: int, keys: list[str], seconds: int | None = 300) -> DataFrame:
+    """Counts a micro-batch adds to each window (discarding panes), or to each key over all time; consumers sum over batch_id."""
+    counts = windows.tumbling(batch, keys, seconds) if seconds else windows.everlasting(batch, keys)
+    return counts.withColumn("batch_id", F.lit(batch_id).cast("long"))
+
+
+def run_panes(events: DataFrame, out: str, checkpoint: str, keys: list[str], seconds: int | None = 300, lateness_s: int = 86_400, every: str | None = None) -> StreamingQuery:
+    """Write what each trigger adds to its windows to `out`, with its pane; without `seconds`, to one window over all time.
+
+    The watermark is the latest event time seen. A delta is early before it passes the window's end, on_time in the batch
+    in which it does, late after that; windows that ended more than the lateness before the batch take nothing more. Each
+    batch writes under its number, so that a repeated one replaces itself.
+    """
+
+    def write(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        deltas = window_deltas(batch, n, keys, seconds)
+        if seconds:
+            seen = spark.read.schema("watermark timestamp, batch_id bigint").parquet(f"{out}/watermarks").where(F.col("batch_id") < n) if n else spark.createDataFrame([], "watermark timestamp, batch_id bigint")
+            before = seen.agg(F.max("watermark")).first()[0]
+            now = max([x for x in (before, batch.agg(F.max("event_time")).first()[0]) if x is not None], default=None)
+            spark.createDataFrame([(now,)], "watermark timestamp").write.mode("overwrite").parquet(f"{out}/watermarks/batch_id={n}")
+            deltas = windows.panes(deltas.withColumn("previous_watermark", F.lit(before).cast("timestamp")), F.lit(now).cast("timestamp"), lateness_s).drop("previous_watermark")
+        deltas.drop("batch_id").write.mode("overwrite").parquet(f"{out}/deltas/batch_id={n}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
