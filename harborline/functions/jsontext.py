@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,43 @@ def kind(node: Column) -> Column:
     )
 
 
+def _no_container(value: Column, text: Column, path: str) -> Column:
+    """value, found at a path of a text, unless an object or array stands there; only what begins like one is parsed again."""
+    node = F.try_variant_get(parsed(text), path, "variant")
+    return F.when(~value.rlike(r"^\s*[{\[]"), value).when(F.schema_of_variant(node) == "STRING", value)
+
+
 def scalar(text: Column, path: str) -> Column:
     """The scalar at a path ($.a.b) as text; null for objects, arrays, JSON null and missing paths."""
-    node = F.try_variant_get(parsed(text), path, "variant")
-    return F.when(kind(node).isin("string", "number", "boolean"), F.get_json_object(text, path))
+    return _no_container(F.get_json_object(text, path), text, path)
+
+
+class Scalars:
+    """The scalars at several paths of a JSON text, read in one parse.
+
+    column() is the parsed struct, to be put into a projection of its own; get() gives the scalar at a path (a.b) as
+    text, as scalar() does, from the column named `name`. A text that isn't a whole JSON object has none.
+    """
+
+    def __init__(self, text: str, paths: list[str], name: str = "_scalars"):
+        self.text, self.name = text, name
+        self.tree: dict[str, dict] = {}
+        for path in paths:
+            at = self.tree
+            for part in path.split("."):
+                at = at.setdefault(part, {})
+
+    def column(self) -> Column:
+        ddl = lambda t: "STRUCT<" + ", ".join(f"`{k}`: {ddl(v) if v else 'STRING'}" for k, v in t.items()) + ">"
+        return F.from_json(F.col(self.text), ddl(self.tree)).alias(self.name)
+
+    def get(self, path: str) -> Column:
+        return _no_container(F.col(f"{self.name}.{path}"), F.col(self.text), f"$.{path}")
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once per row: filters on it and uses of it are not rewritten into its expression."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def top_level(text: Column) -> Column:

@@ -21,21 +21,17 @@ METADATA = [a for names in ALIASES.values() for a in names if a != "X-Trace-Id"]
 _INFERRED = ["shipment", "facility", "driver", "delivery"]
 
 
-def body_text(data: Column) -> Column:
-    """The message body as the text of a JSON object; anything else as {"raw_data": text}.
-
-    Bytes that aren't UTF-8 are kept in hex.
-    """
-    text = F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(F.hex(data))
-    is_object = F.coalesce(jsontext.kind(jsontext.parsed(text)) == "object", F.lit(False))
-    return F.when(is_object, text).otherwise(F.to_json(F.struct(text.alias("raw_data"))))
+def _text(v: Column) -> Column:
+    """A variant as text: strings plain, all else as JSON."""
+    return F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
 
 
 def _present(body: Column, attributes: Column, names: list[str], default: Column) -> Column:
     """The first alias that is present, in the body before the attributes; JSON null counts and reads None."""
     out = F
     for n in names:
-        out = out.when(F.map_contains_key(body, n), F.coalesce(body[n], F.lit("None"))).when(F.map_contains_key(attributes, n), F.coalesce(attributes[n], F.lit("None")))
+        given = F.when(F.is_variant_null(body[n]), "None").otherwise(_text(body[n]))
+        out = out.when(body[n].isNotNull(), given).when(F.map_contains_key(attributes, n), F.coalesce(attributes[n], F.lit("None")))
     return out.otherwise(default)
 
 
@@ -49,32 +45,34 @@ def instant(text: Column, is_number: Column, fallback: Column) -> Column:
 def normalize(messages: DataFrame, ingest_time: Column | None = None, new_id: Column | None = None) -> DataFrame:
     """Envelopes of messages. ingest_time and new_id (for messages without an identifier) can be given, for repeatability.
 
-    Null bodies become {"raw_data": null}; further columns of the messages are dropped, whatever their names.
+    A body that is no JSON object becomes {"raw_data": text}, bytes that aren't UTF-8 in hex; null bodies are empty texts.
+    Further columns of the messages are dropped, whatever their names. The body is parsed once.
     """
     now = F.current_timestamp() if ingest_time is None else ingest_time
     new_id = F.uuid() if new_id is None else new_id
     attributes = F.coalesce(F.col("attributes"), F.create_map().cast("map<string,string>"))
-    raw = messages.select(body_text(F.coalesce(F.col("data"), F.lit(b""))).alias("_text"), attributes.alias("_attributes"), now.alias("ingest_time"), new_id.alias("_new"))
-    raw = raw.withColumns({"_body": jsontext.top_level(F.col("_text")), "_variant": jsontext.parsed(F.col("_text"))})
+    data = F.coalesce(F.col("data"), F.lit(b"")).cast("string")
+    text = F.when(F.is_valid_utf8(data), data).otherwise(F.hex(F.col("data")))
+    raw = jsontext.once(messages.select(text.alias("_text"), attributes.alias("_attributes"), now.alias("ingest_time"), new_id.alias("_new")), "_object", F.from_json("_text", "map<string,variant>"))
+    whole = F.from_json(F.to_json(F.struct(F.col("_text").alias("raw_data"))), "map<string,variant>")
+    raw = raw.withColumn("_body", F.coalesce("_object", whole))
     b, a = F.col("_body"), F.col("_attributes")
     inferred = F
     for d in _INFERRED:
-        inferred = inferred.when(F.map_contains_key(b, f"{d}_id") | F.map_contains_key(b, f"{d}Id"), f"{d}.unknown")
+        inferred = inferred.when(b[f"{d}_id"].isNotNull() | b[f"{d}Id"].isNotNull(), f"{d}.unknown")
     truthy = lambda c: F.when(~c.isin("", "0", "0.0", "false", "{}", "[]"), c)
-    times = [(truthy(m[n]), jsontext.kind(F.try_variant_get(F.col("_variant"), f"$['{n}']", "variant")) == "number" if m is b else F.lit(False)) for n in ALIASES["event_time"] for m in (b, a)]
-    at = F.coalesce(*[F.when(c.isNotNull(), F.struct(c.alias("t"), F.coalesce(k, F.lit(False)).alias("k"))) for c, k in times])
-    kind_at = lambda path: jsontext.kind(F.try_variant_get(F.col("_variant"), path, "variant"))
-    rest = F.to_json(F.map_filter(F.from_json("_text", "map<string,variant>"), lambda k, _: ~k.isin(METADATA)))
-    payload = (
-        F.when(kind_at("$.payload") == "object", F.to_json(F.try_variant_get(F.col("_variant"), "$.payload", "variant")))
-        .when(kind_at("$.data") == "object", F.to_json(F.try_variant_get(F.col("_variant"), "$.data", "variant")))
-        .otherwise(rest)
-    )
-    return raw.withColumn("_at", at).select(
+    number = lambda v: F.coalesce(jsontext.kind(v) == "number", F.lit(False))
+    stated = [F.struct(truthy(_text(b[n])).alias("t"), number(b[n]).alias("k")) if m is b else F.struct(truthy(a[n]).alias("t"), F.lit(False).alias("k")) for n in ALIASES["event_time"] for m in (b, a)]
+    object_at = lambda k: jsontext.kind(b[k]) == "object"
+    rest = F.to_json(F.map_filter(b, lambda k, _: ~k.isin(METADATA)))
+    payload = F.when(object_at("payload"), F.to_json(b["payload"])).when(object_at("data"), F.to_json(b["data"])).otherwise(rest)
+    raw = raw.withColumn("_at", F.filter(F.array(*stated), lambda x: x["t"].isNotNull()))
+    raw = raw.withColumn("_at", F.get("_at", F.lit(0)))
+    return raw.select(
         _present(b, a, ALIASES["event_id"], F.col("_new")).alias("event_id"),
         _present(b, a, ALIASES["event_type"], inferred.otherwise("unknown")).alias("event_type"),
         _present(b, a, ALIASES["event_version"], F.lit("v1")).alias("event_version"),
-        instant(F.col("_at.t"), F.col("_at.k"), F.col("ingest_time")).alias("event_time"),
+        instant(F.col("_at.t"), F.coalesce(F.col("_at.k"), F.lit(False)), F.col("ingest_time")).alias("event_time"),
         "ingest_time",
         _present(b, a, ALIASES["source_system"], F.lit("unknown")).alias("source_system"),
         payload.alias("payload"),

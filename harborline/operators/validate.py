@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions import envelope, jsontext
-from harborline.types import DOMAINS
+from harborline.types import DOMAINS, VALIDATION_ERRORS
 
 
-def _error(when: Column, field: str, message: str, code: str, value: Column | None = None) -> Column:
+def _error(when: Column, field: str | Column, message: str | Column, code: str, value: Column | None = None) -> Column:
     text = F.lit(None).cast("string") if value is None else value.cast("string")
-    return F.when(when, F.struct(F.lit(field).alias("field"), F.lit(message).alias("message"), F.lit(code).alias("error_code"), text.alias("value")))
+    return F.when(when, F.struct((field if isinstance(field, Column) else F.lit(field)).alias("field"), (message if isinstance(message, Column) else F.lit(message)).alias("message"), F.lit(code).alias("error_code"), text.alias("value")))
 
 
 def envelope_errors() -> list[Column]:
@@ -29,9 +29,10 @@ def envelope_errors() -> list[Column]:
 
 def domain_errors() -> list[Column]:
     """The payload of a domain's event has the domain's id, in either case style; null counts as present."""
-    keys, d = jsontext.top_level(F.col("payload")), envelope.domain(F.col("event_type"))
-    has = lambda k: F.coalesce(F.map_contains_key(keys, k), F.lit(False))
-    return [_error((d == x) & ~has(f"{x}_id") & ~has(f"{x}Id"), f"{x}_id", f"{x} events need {x}_id", "MISSING_DOMAIN_FIELD") for x in DOMAINS]
+    d = envelope.domain(F.col("event_type"))
+    named = F.concat(d, F.lit("_id"))
+    has = F.arrays_overlap(F.json_object_keys("payload"), F.array(named, F.concat(d, F.lit("Id"))))
+    return [_error(d.isin(DOMAINS) & ~F.coalesce(has, F.lit(False)), named, F.concat(d, F.lit(" events need "), named), "MISSING_DOMAIN_FIELD")]
 
 
 #: Keywords with an effect, and annotations without one.
@@ -50,14 +51,16 @@ def _by_kind(values: list) -> dict[str, list]:
     return out
 
 
-def compile_schema(schema: dict, root: Column) -> list[Column]:
-    """Errors of a variant against a JSON Schema: type, required, properties, enum, pattern, minimum, maximum, exclusiveMinimum, exclusiveMaximum, minLength, maxLength, $ref.
+def compile_schema(schema: dict, root: Column) -> Column:
+    """Array of the errors of a variant against a JSON Schema: type, required, properties, enum, pattern, minimum, maximum, exclusiveMinimum, exclusiveMaximum, minLength, maxLength, $ref.
 
     A keyword counts only where the node has the JSON type it speaks of, and where the node exists. Annotations and
     `format` have no effect; any other keyword is refused. An integer may be written with a zero fraction; members of an
-    enum are texts, numbers, booleans or null and count by JSON type.
+    enum are texts, numbers, booleans or null and count by JSON type. Each node is taken out of the variant once; the
+    rules then see its type, text and number.
     """
-    out: list[Column] = []
+    nodes: list[Column] = []
+    rules: list = []  # functions of the struct of all nodes
 
     def visit(node: dict, path: list[str]) -> None:
         while "$ref" in node:
@@ -68,42 +71,52 @@ def compile_schema(schema: dict, root: Column) -> list[Column]:
         unknown = set(node) - _KEYWORDS
         if unknown:
             raise ValueError(f"keywords that aren't supported at {'.'.join(path) or 'root'}: {', '.join(sorted(unknown))}")
-        where = "$" + "".join(f"['{p}']" for p in path)
-        name = ".".join(path) or "root"
+        where, name, number = "$" + "".join(f"['{p}']" for p in path), ".".join(path) or "root", len(nodes)
         here = F.try_variant_get(root, where, "variant") if path else root
-        kind = jsontext.kind(here)
-        text = F.try_variant_get(root, where, "string") if path else F.lit(None).cast("string")
-        number = F.try_variant_get(root, where, "double") if path else F.lit(None).cast("double")
-        shown = F.when(kind != "object", text)
-        is_ = lambda k: F.coalesce(kind == k, F.lit(False))
-        add = lambda cond, said: out.append(_error(F.coalesce(cond, F.lit(False)), name, said, "SCHEMA_VIOLATION", shown))
-        if "type" in node:
-            allowed = node["type"] if isinstance(node["type"], list) else [node["type"]]
-            fits = F.lit(False)
-            for t in allowed:
-                fits = fits | ((is_("number") & (number == F.floor(number))) if t == "integer" else is_(t))
-            add(kind.isNotNull() & ~fits, f"is not of type {' or '.join(allowed)}")
-        if "enum" in node:
-            listed = F.lit(False)
-            for k, values in _by_kind(node["enum"]).items():
-                same = {"string": lambda v: text.isin(v), "number": lambda v: number.isin([float(x) for x in v]), "boolean": lambda v: text.isin([str(x).lower() for x in v]), "null": lambda v: F.lit(True)}[k]
-                listed = listed | (is_(k) & F.coalesce(same(values), F.lit(False)))
-            add(kind.isNotNull() & ~listed, "is none of the listed values")
-        if "pattern" in node:
-            add(is_("string") & ~text.rlike(node["pattern"]), f"does not match {node['pattern']}")
-        for word, bad in (("minLength", lambda n: F.char_length(text) < n), ("maxLength", lambda n: F.char_length(text) > n)):
-            if word in node:
-                add(is_("string") & bad(node[word]), f"breaks {word} {node[word]}")
-        for word, bad in (("minimum", lambda n: number < n), ("maximum", lambda n: number > n), ("exclusiveMinimum", lambda n: number <= n), ("exclusiveMaximum", lambda n: number >= n)):
-            if word in node:
-                add(is_("number") & bad(node[word]), f"breaks {word} {node[word]}")
-        for key in node.get("required", []):
-            child = F.try_variant_get(root, f"{where}['{key}']", "variant")
-            add(is_("object") & child.isNull(), f"'{key}' is required")
+        text, value = (F.try_variant_get(root, where, t) if path else F.lit(None).cast(t) for t in ("string", "double"))
+        children = [F.try_variant_get(root, f"{where}['{k}']", "variant").isNull() for k in node.get("required", [])]
+        parts = [F.schema_of_variant(here).alias("kind"), text.alias("text"), value.alias("number"), *[c.alias(f"no{k}") for k, c in enumerate(children)]]
+        nodes.append(F.struct(*parts).alias(f"n{number}"))
+        rules.append(lambda n: _node_errors(node, name, n[f"n{number}"]))
         for key, child in node.get("properties", {}).items():
             visit(child, [*path, key])
 
     visit(schema, [])
+    found = F.transform(F.array(F.struct(*nodes)), lambda n: F.array_compact(F.array(*[e for r in rules for e in r(n)])))
+    return F.get(found, F.lit(0))
+
+
+def _node_errors(node: dict, name: str, n: Column) -> list[Column]:
+    """Errors of one node, given as kind (Spark's name of the variant's type), text, number and noK for its K-th required key being absent."""
+    out: list[Column] = []
+    kind, text, number = n["kind"], n["text"], n["number"]
+    kinds = {"object": kind.startswith("OBJECT"), "array": kind.startswith("ARRAY"), "string": kind == "STRING", "boolean": kind == "BOOLEAN", "null": kind == "VOID"}
+    kinds["number"] = ~(kinds["object"] | kinds["array"] | kind.isin("STRING", "BOOLEAN", "VOID"))
+    is_ = lambda k: F.coalesce(kinds[k], F.lit(False))
+    shown = F.when(~is_("object"), text)
+    add = lambda cond, said: out.append(_error(F.coalesce(cond, F.lit(False)), name, said, "SCHEMA_VIOLATION", shown))
+    if "type" in node:
+        allowed = node["type"] if isinstance(node["type"], list) else [node["type"]]
+        fits = F.lit(False)
+        for t in allowed:
+            fits = fits | ((is_("number") & (number == F.floor(number))) if t == "integer" else is_(t))
+        add(kind.isNotNull() & ~fits, f"is not of type {' or '.join(allowed)}")
+    if "enum" in node:
+        listed = F.lit(False)
+        for k, values in _by_kind(node["enum"]).items():
+            same = {"string": lambda v: text.isin(v), "number": lambda v: number.isin([float(x) for x in v]), "boolean": lambda v: text.isin([str(x).lower() for x in v]), "null": lambda v: F.lit(True)}[k]
+            listed = listed | (is_(k) & F.coalesce(same(values), F.lit(False)))
+        add(kind.isNotNull() & ~listed, "is none of the listed values")
+    if "pattern" in node:
+        add(is_("string") & ~text.rlike(node["pattern"]), f"does not match {node['pattern']}")
+    for word, bad in (("minLength", lambda m: F.char_length(text) < m), ("maxLength", lambda m: F.char_length(text) > m)):
+        if word in node:
+            add(is_("string") & bad(node[word]), f"breaks {word} {node[word]}")
+    for word, bad in (("minimum", lambda m: number < m), ("maximum", lambda m: number > m), ("exclusiveMinimum", lambda m: number <= m), ("exclusiveMaximum", lambda m: number >= m)):
+        if word in node:
+            add(is_("number") & bad(node[word]), f"breaks {word} {node[word]}")
+    for k, key in enumerate(node.get("required", [])):
+        add(is_("object") & n[f"no{k}"], f"'{key}' is required")
     return out
 
 
@@ -123,15 +136,14 @@ def validated(df: DataFrame, schemas: dict[str, dict] | None = None) -> DataFram
     kind, d = F.col("event_type"), envelope.domain(F.col("event_type"))
     versioned = F.concat(kind, F.lit("_"), F.col("event_version"))
     chosen = F.when(versioned.isin(list(schemas)), versioned).when(kind.isin(list(schemas)), kind).when(d.isin(list(schemas)), d) if schemas else F.lit(None)
-    root = F.coalesce(F.try_parse_json("payload"), F.parse_json(F.lit("null")))
     if schemas:
+        df = jsontext.once(df.withColumn("_schema", chosen), "_payload", F.coalesce(F.try_parse_json("payload"), F.parse_json(F.lit("null"))))
         checked = F
         for name, schema in schemas.items():
-            checked = checked.when(F.col("_schema") == name, F.array_compact(F.array(*compile_schema(schema, F.col("_payload")))))
-        df = df.withColumns({"_schema": chosen, "_payload": root})
-        parts.append(F.coalesce(checked.otherwise(None), F.array().cast("array<struct<field:string,message:string,error_code:string,value:string>>")))
+            checked = checked.when(F.col("_schema") == name, compile_schema(schema, F.col("_payload")))
+        parts.append(F.coalesce(checked.otherwise(None), F.array().cast(VALIDATION_ERRORS)))
     parts.append(F.array_compact(F.array(*domain_errors())))
-    return df.withColumn("errors", F.concat(*parts)).drop("_schema", "_payload")
+    return jsontext.once(df, "errors", F.concat(*parts)).drop("_schema", "_payload")
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,14 @@ from harborline.functions import envelope, jsontext, masking
 from harborline.sources import sinks
 from harborline.types import GOLD
 
-_P = lambda path: jsontext.scalar(F.col("payload"), f"$.{path}")
+_P = jsontext.Scalars("payload", []).get
+
+
+def _read(events: DataFrame, paths: list[str]) -> DataFrame:
+    """events with the named fields of the payload, in one parse, for _P."""
+    return events.withColumn("_scalars", jsontext.Scalars("payload", paths).column())
+
+
 _TIME = lambda path: F.regexp_replace(_P(path), "Z", "+00:00").try_cast("timestamp")
 
 
@@ -30,6 +37,7 @@ def fact_deliveries(events: DataFrame, day: str | None = None, by_delivery_date:
     events = events.where(F.col("event_type").isin("delivery.scheduled", "delivery.attempted", "delivery.completed"))
     if day and not by_delivery_date:
         events = events.where(F.to_date("event_time") == F.lit(day).cast("date"))
+    events = _read(events, ["delivery_id", "shipment_id", "driver_id", "completed_at", "attempt_count", "was_on_time", "carrier_id", "scheduled_date"])
     day_of = F.lit(None).cast("date") if by_delivery_date else F.to_date("event_time")
     done = F.struct(
         _P("delivery_id").alias("delivery_id"), _P("shipment_id").alias("shipment_id"), "facility_id", _P("driver_id").alias("driver_id"),
@@ -55,7 +63,7 @@ def fact_deliveries(events: DataFrame, day: str | None = None, by_delivery_date:
 def fact_shipment_events(events: DataFrame, day: str | None = None) -> DataFrame:
     """A projection of shipment events; repeated events stay repeated."""
     events = events.where(F.to_date("event_time") == F.lit(day).cast("date")) if day else events
-    return events.select(
+    return _read(events, ["driver_id", "status", "location.latitude", "location.longitude"]).select(
         "event_id", "shipment_id", F.to_date("event_time").alias("event_date"), "event_type", "event_time", "facility_id", "carrier_id", _P("driver_id").alias("driver_id"),
         _P("status").alias("status"), _P("location.latitude").try_cast("double").alias("latitude"), _P("location.longitude").try_cast("double").alias("longitude"),
     )
@@ -63,7 +71,8 @@ def fact_shipment_events(events: DataFrame, day: str | None = None) -> DataFrame
 
 def facility_tuples(events: DataFrame) -> DataFrame:
     """Distinct attribute tuples of facility events with the time each was last seen; an unstated status is active."""
-    return events.groupBy(
+    address = [f"address.{a}" for a in ("street", "city", "state", "country", "postal_code", "latitude", "longitude")]
+    return _read(events, ["facility_name", "facility_type", *address, "timezone", "capacity_units", "status"]).groupBy(
         "facility_id", _P("facility_name").alias("facility_name"), _P("facility_type").alias("facility_type"), *[_P(f"address.{a}").alias(b) for a, b in (("street", "address"), ("city", "city"), ("state", "state"), ("country", "country"), ("postal_code", "postal_code"))],
         _P("address.latitude").try_cast("double").alias("latitude"), _P("address.longitude").try_cast("double").alias("longitude"), _P("timezone").alias("timezone"),
         _P("capacity_units").try_cast("long").alias("capacity_units"), (F.coalesce(_P("status"), F.lit("active")) == "active").alias("is_active"),
@@ -72,12 +81,13 @@ def facility_tuples(events: DataFrame) -> DataFrame:
 
 def carrier_tuples(events: DataFrame) -> DataFrame:
     """Distinct carriers of shipment events."""
-    return events.where("carrier_id IS NOT NULL").groupBy("carrier_id", *[_P(c).alias(c) for c in ("carrier_name", "carrier_type", "scac_code")]).agg(F.max("event_time").alias("last_updated")).withColumn("is_active", F.lit(True))
+    return _read(events.where("carrier_id IS NOT NULL"), ["carrier_name", "carrier_type", "scac_code"]).groupBy("carrier_id", *[_P(c).alias(c) for c in ("carrier_name", "carrier_type", "scac_code")]).agg(F.max("event_time").alias("last_updated")).withColumn("is_active", F.lit(True))
 
 
 def driver_tuples(events: DataFrame, key: bytes) -> DataFrame:
     """Distinct drivers of driver events: the name only as a keyed hash; active unless unavailable or off duty for good."""
     name = F.concat_ws(" ", _P("first_name"), _P("last_name"))
+    events = _read(events, ["driver_id", "first_name", "last_name", "carrier_id", "home_facility_id", "license_type", "status"])
     return events.where(_P("driver_id").isNotNull()).groupBy(
         _P("driver_id").alias("driver_id"), F.when(name != "", masking.token(F.lower(name), key)).alias("driver_name_hash"), *[_P(c).alias(c) for c in ("carrier_id", "home_facility_id", "license_type")],
         (F.coalesce(_P("status"), F.lit("available")) != "unavailable").alias("is_active"),

@@ -59,7 +59,7 @@ def st_pipeline(spark, sf):
     events = _events(spark, sf)
     body = F.to_json(F.struct("event_id", "event_type", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"), F.parse_json("payload").alias("payload")))
     raw = events.select(body.cast("binary").alias("data"), F.create_map(F.lit("source_system"), "source_system").alias("attributes"))
-    pipeline.run(raw, pipeline.Settings(out), f"{out}/checkpoint").awaitTermination()
+    pipeline.run(raw, pipeline.Settings(out, bronze=False), f"{out}/checkpoint").awaitTermination()
     return comparable(spark.read.parquet(f"{out}/events").groupBy("route", "event_type").agg(F.count("*").alias("n")))
 
 
@@ -152,7 +152,7 @@ def _piped(spark, sf, **settings) -> str:
 
 def st_silver_rows(spark, sf):
     """Clean rows of the delivery domain, as the stream wrote them."""
-    rows = spark.read.parquet(f"{_piped(spark, sf)}/silver/delivery_events")
+    rows = spark.read.parquet(f"{_piped(spark, sf, bronze=False)}/silver/delivery_events")
     return comparable(rows.select("event_id", "event_type", "event_time", "event_version", "source_system", "dedupe_key", "delivery_id", "shipment_id", "driver_id", "facility_id"))
 
 
@@ -165,7 +165,7 @@ def st_bronze_lines(spark, sf):
 
 def st_raw_archive(spark, sf):
     """Messages as they came."""
-    rows = spark.read.parquet(f"{_piped(spark, sf, raw_archive=True)}/raw")
+    rows = spark.read.parquet(f"{_piped(spark, sf, raw_archive=True, bronze=False)}/raw")
     return comparable(rows.select(F.get_json_object(F.col("data").cast("string"), "$.event_id").alias("event_id"), F.col("attributes")["source_system"].alias("source_system")))
 
 

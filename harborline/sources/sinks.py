@@ -36,18 +36,23 @@ def bronze_avro(events: DataFrame, path: str) -> None:
         raise
 
 
+def _camel(name: str) -> str:
+    head, *rest = name.split("_")
+    return head + "".join(r.title() for r in rest)
+
+
 def silver_rows(events: DataFrame, domain: str, camel_case: bool = False) -> DataFrame:
     """Envelopes of a domain in its clean schema; promoted ids come from the payload, by snake-case key unless camel_case."""
 
+    names = PROMOTED.get(domain, [])
+    ids = jsontext.Scalars("payload", names + [_camel(n) for n in names])
+
     def promoted(name: str):
-        value = jsontext.scalar(F.col("payload"), f"$.{name}")
-        if camel_case:
-            head, *rest = name.split("_")
-            value = F.coalesce(value, jsontext.scalar(F.col("payload"), f"$.{head}{''.join(r.title() for r in rest)}"))
-        return value.alias(name)
+        return (F.coalesce(ids.get(name), ids.get(_camel(name))) if camel_case else ids.get(name)).alias(name)
 
     key = envelope.dedupe_key(F.col("event_type"), F.col("event_id")).alias("dedupe_key")
     common = [F.col(f.name) if f.name != "dedupe_key" else key for f in silver(domain).fields if f.name not in PROMOTED.get(domain, [])]
+    events = events.withColumn("_scalars", ids.column()) if names else events
     return events.select(*common, *[promoted(c) for c in PROMOTED.get(domain, [])])
 
 

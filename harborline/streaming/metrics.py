@@ -7,17 +7,17 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 
-def counted(df: DataFrame, name: str, **conditions: Column) -> DataFrame:
+def counted(df: DataFrame, name: str | Observation, **conditions: Column) -> DataFrame:
     """df that counts all rows and those that meet each condition while it runs; no extra pass."""
     return df.observe(name, F.count("*").alias("rows"), *[F.count_if(c).alias(k) for k, c in conditions.items()])
 
 
-def distribution(df: DataFrame, name: str, column: str) -> DataFrame:
+def distribution(df: DataFrame, name: str | Observation, column: str) -> DataFrame:
     """df that observes least, most, sum and count of a column while it runs."""
     return df.observe(name, F.min(column).alias("min"), F.max(column).alias("max"), F.sum(column).alias("sum"), F.count(column).alias("count"))
 
