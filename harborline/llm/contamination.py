@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.llm.fm_index import FMIndex
@@ -103,20 +103,14 @@ def _searcher(found: tuple, least: int, shard_words: int):
     return run
 
 
-def passages(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Removal spans: (doc_id, item_id, first_word, end_word, start_char, end_char), overlapping ones merged per item.
-
-    Ends are exclusive; words count in the text without markup, chars in the text as given. Null, blank and short texts
-    and items give nothing, nor do rows without an id; a document that occurs twice gives its spans twice. In a document longer
-    than a shard, a passage across two pieces gives two spans that overlap. Items beyond BLOCK_BYTES are searched in blocks of that size.
-    """
+def found(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """What passages() merges: in a document longer than a shard, a passage across two pieces is two spans that overlap."""
     items = materialize(items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text"), "items")
     blocks = max(1, -(-plan_bytes(items) // BLOCK_BYTES))
     parts = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
-        found = phrases([(r.item_id, r.text) for r in block.collect()], least)
-        run = _searcher(found, least, shard_words)
+        run = _searcher(phrases([(r.item_id, r.text) for r in block.collect()], least), least, shard_words)
         parts.append(documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id bigint, item_id bigint, first_word bigint, end_word bigint, start_char bigint, end_char bigint"))
     out = parts[0]
     for p in parts[1:]:
@@ -124,9 +118,33 @@ def passages(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, s
     return out
 
 
+def _united(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Spans of each key that overlap or touch as one; ends of words and chars grow together, so that words tell."""
+    spans = spans.groupBy(*keys, "first_word").agg(F.max("end_word").alias("end_word"), F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char"))
+    order = Window.partitionBy(*keys).orderBy("first_word")
+    reached = F.max("end_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    parted = spans.withColumn("_new", F.coalesce(F.col("first_word") > reached, F.lit(True)).cast("int")).withColumn("_span", F.sum("_new").over(order))
+    return parted.groupBy(*keys, "_span").agg(F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char")).drop("_span")
+
+
+def passages(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Passages: (doc_id, item_id, first_word, end_word, start_char, end_char), overlapping ones merged per item.
+
+    Ends are exclusive; words count in the text without markup, chars in the text as given. Null, blank and short texts
+    and items give nothing, nor do rows without an id; a document that occurs twice gives its spans once. Items beyond
+    BLOCK_BYTES are searched in blocks of that size.
+    """
+    return _united(found(documents, items, least, shard_words), ["doc_id", "item_id"])
+
+
+def removal_spans(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """What to cut out of each document: (doc_id, first_word, end_word, start_char, end_char), merged over all items."""
+    return _united(found(documents, items, least, shard_words), ["doc_id"])
+
+
 def leaked(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id): each document with an item it repeats, once."""
-    return passages(documents, items, least).select("doc_id", "item_id").distinct()
+    return found(documents, items, least).select("doc_id", "item_id").distinct()
 
 
 def report(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS) -> DataFrame:

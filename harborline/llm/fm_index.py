@@ -9,22 +9,29 @@ import numpy as np
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling."""
+    """Suffix array by prefix doubling, in which only suffixes that aren't told apart yet are sorted again.
+
+    The rank of a suffix is the place of the first of its group, so that groups are refined in place.
+    """
     n = len(s)
-    _, rank = np.unique(s, return_inverse=True)
-    rank, k = rank.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while n > 1:
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank, k = new, k * 2
-        if rank[order[-1]] == n - 1 or k >= n:
-            break
+    order = np.argsort(s, kind="stable")
+    head = np.ones(n, bool)
+    head[1:] = s[order[1:]] != s[order[:-1]]
+    slots = np.arange(n)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
+    slots, k = slots[~(head & np.append(head[1:], True))], 1
+    while len(slots):
+        open_ = order[slots]
+        after = np.where(open_ + k < n, rank[np.minimum(open_ + k, n - 1)] + 1, 0)
+        key = rank[open_] * (n + 1) + after
+        by = np.argsort(key, kind="stable")
+        open_, key = open_[by], key[by]
+        order[slots] = open_
+        head = np.ones(len(slots), bool)
+        head[1:] = key[1:] != key[:-1]
+        rank[open_] = np.maximum.accumulate(np.where(head, slots, 0))
+        slots, k = slots[~(head & np.append(head[1:], True))], k * 2
     return order
 
 

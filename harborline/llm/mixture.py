@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import os
+from bisect import bisect_right
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,17 +64,16 @@ def _cumulative(mean: float, cap: int) -> list[float]:
     """P(X <= k) for k < cap of a Poisson distribution; an infinite mean gives zeros."""
     if math.isinf(mean):
         return [0.0] * cap
-    out, term, total = [], math.exp(-mean), 0.0
+    out, total = [], 0.0
     for k in range(cap):
-        total += term
+        total = min(1.0, total + math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)))
         out.append(total)
-        term *= mean / (k + 1)
     return out
 
 
 def _expected(bins: list[tuple[float, int]], mean: float, cap: int) -> float:
     steps = _cumulative(mean, cap)
-    return sum(n * sum(c <= u for c in steps) for u, n in bins)
+    return sum(n * bisect_right(steps, u) for u, n in bins)
 
 
 def rates(sized: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
@@ -100,7 +100,7 @@ def rates(sized: DataFrame, targets: DataFrame, total: int | None = None) -> lis
             mean = math.inf
         elif wanted > 0:
             low, high = 0.0, 1.0
-            while _expected(bins[r.source], high, r.cap) < wanted and high < 700:
+            while _expected(bins[r.source], high, r.cap) < wanted:  # ends, as the cap is reached in the limit
                 high *= 2
             for _ in range(60):
                 mean = (low + high) / 2

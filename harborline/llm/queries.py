@@ -27,6 +27,11 @@ def p8_passages(spark, sf):
     return contamination.passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
+def p8_removal(spark, sf):
+    """What to cut out of each document."""
+    return contamination.removal_spans(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
 def p9_mixture(spark, sf):
     """The mixture, shuffled."""
     return mixture.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
@@ -51,5 +56,5 @@ def p10_profile(spark, sf):
     return reading_level.profile(table(spark, sf, "documents"), _ranker(spark, sf))
 
 
-QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
+QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages, "p8_removal": p8_removal, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
 ORACLE: dict[str, str] = {}

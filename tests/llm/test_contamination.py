@@ -84,3 +84,15 @@ def test_blocks_of_items(spark, block, monkeypatch):
     items = [(k, " ".join(f"i{k}w{n}" for n in range(14))) for k in range(6)]
     d, e = tables(spark, [(k, t) for k, t in items], items)
     assert sorted(map(tuple, contamination.leaked(d, e).collect())) == [(k, k) for k in range(6)]
+
+
+def test_spans_merge_over_pieces_and_items(spark):
+    text = " ".join(f"word{n}" for n in range(60))
+    items = [(1, " ".join(text.split()[:30])), (2, " ".join(text.split()[20:60]))]
+    d, e = tables(spark, [(5, "lead " * 50 + text + " tail" * 50)], items)
+    for size in (13, 40, 100_000):
+        assert sorted((r.item_id, r.first_word, r.end_word) for r in contamination.passages(d, e, 12, size).collect()) == [(1, 50, 80), (2, 70, 110)]
+        (cut,) = contamination.removal_spans(d, e, 12, size).collect()
+        assert (cut.first_word, cut.end_word) == (50, 110) and d.first().text[cut.start_char : cut.end_char] == text
+    apart, _ = tables(spark, [(6, items[0][1] + " between them " + items[1][1])], items)
+    assert contamination.removal_spans(apart, e).count() == 2

@@ -45,6 +45,16 @@ def test_empty(spark):
     assert mixture.shares(docs.limit(0), targets).first().tokens == 0
 
 
+def test_means_beyond_any_bound(spark):
+    docs = documents(spark, {"a": 40, "b": 40})
+    targets = spark.createDataFrame([("a", 90.0, 3000), ("b", 10.0, 3000)], TARGETS)
+    sized = mixture.measured(docs, targets)
+    solved = {r["source"]: r for r in mixture.rates(sized, targets, total=4_000_000)}
+    assert solved["a"]["mean"] > 700
+    used = {r.source: r.tokens for r in mixture.replicated(sized, list(solved.values())).selectExpr("source", "n_tokens * copies AS t").groupBy("source").sum("t").toDF("source", "tokens").collect()}
+    assert used["a"] == pytest.approx(solved["a"]["wanted"], rel=0.03)
+
+
 def test_poisson_steps():
     assert mixture._cumulative(float("inf"), 3) == [0, 0, 0] and mixture._cumulative(1.0, 2) == pytest.approx([0.36788, 0.73576], abs=1e-4)
 
