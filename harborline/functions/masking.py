@@ -20,7 +20,7 @@ def _starred(word: Column, short: Column) -> Column:
 
 
 def _words(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(c, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
 
 
 def mask_email(c: Column) -> Column:
@@ -32,7 +32,7 @@ def mask_email(c: Column) -> Column:
 
 def mask_phone(c: Column) -> Column:
     """The last four digits."""
-    digits = F.regexp_replace(c, r"\D", "")
+    digits = F.regexp_replace(c, r"(?U)\D", "")
     return F.when(F.length(digits) >= 4, F.concat(F.lit("***-***-"), F.substring(digits, -4, 4))).otherwise("***-***-****")
 
 

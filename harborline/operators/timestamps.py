@@ -76,10 +76,10 @@ def with_micros(df: DataFrame, text: str, default_zone: str, day_first: str, nam
     for pattern, fields in CASCADE:  # a text that is rewritten fits no later pattern
         rewritten = F.regexp_replace(rewritten, pattern, fields)
     number, micros = _number("_t")
-    df = df.withColumns({"_w": rewritten, "_n": number})
+    df = df.withColumns({"_w": rewritten, "_n": number})  # a text that no pattern fits stays as it is
     kinds = "_y INT, _b STRING, _c STRING, _h INT, _m INT, _s INT, _us STRING, _half STRING, _offset STRING, _named STRING"
     fields = F.from_csv("_w", F.lit(kinds), {"sep": "|", "mode": "PERMISSIVE", "quote": ""})
-    df = df.select(*given, micros.alias("_number"), F.when(F.instr("_w", "|") > 0, fields).alias("_f")).select(*given, "_number", "_f.*")
+    df = df.select(*given, micros.alias("_number"), F.when(F.col("_w") != F.col("_t"), fields).alias("_f")).select(*given, "_number", "_f.*")
     swap = F.col("_b").startswith("?") & F.coalesce(F.col(day_first), F.lit(False))
     df = df.withColumns({"_b": F.when(swap, F.col("_c")).otherwise(F.col("_b")), "_c": F.when(swap, F.col("_b")).otherwise(F.col("_c"))})
     word = F.floor((F.instr(F.lit(_MONTHS), F.col("_b")) + 3) / 4).cast("int")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.functions import envelope, jsontext, masking
+from harborline.operators.lookup import BROADCAST_BYTES
+from harborline.operators.slices import sliced
+from harborline.session import materialize, plan_bytes
 from harborline.sources import sinks
 from harborline.types import GOLD
 
@@ -183,8 +186,29 @@ def duplicate_rate(df: DataFrame, key: str) -> DataFrame:
     return df.agg((1 - F.try_divide(F.count_distinct(key).cast("double"), F.count(key))).alias("duplicate_rate"))
 
 
-def asof(events: DataFrame, dim: DataFrame, key: str, time: str = "event_time") -> DataFrame:
-    """events with the version of their dimension valid at their time; an equi-join on the key with a range on it."""
-    d = dim.select(F.col(key).alias("_key"), *[c for c in dim.columns if c != key])
-    valid = (F.col(key) == F.col("_key")) & (F.col(time) >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col(time) < F.col("effective_to")))
-    return events.join(d, valid, "left").drop("_key")
+def asof(events: DataFrame, dim: DataFrame, key: str, time: str = "event_time", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """events with the version of their dimension valid at their time, or nulls; the versions of a key don't overlap.
+
+    dim is written first. Up to `limit` bytes it is broadcast, and events aren't shuffled. Beyond that events and versions
+    are sorted together over slices (see operators.slices) and the last version is carried forward, so that a key with
+    very many events and versions meets in no task.
+    """
+    dim = materialize(dim.where(F.col(key).isNotNull() & F.col("effective_from").isNotNull()), "versions")
+    others = [c for c in dim.columns if c != key]
+    if plan_bytes(dim) <= limit:
+        d = dim.select(F.col(key).alias("_key"), *others)
+        valid = (F.col(key) == F.col("_key")) & (F.col(time) >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col(time) < F.col("effective_to")))
+        return events.join(F.broadcast(d), valid, "left").drop("_key")
+    row, version = F.struct(*[F.col(f"`{c}`") for c in events.columns]), F.struct(*others)
+    placed = F.col(f"`{key}`").isNotNull() & F.col(f"`{time}`").isNotNull()
+    rows = events.where(placed).select(F.col(f"`{key}`").alias("_key"), F.col(f"`{time}`").alias("_at"), row.alias("_row"))
+    both = rows.unionByName(dim.select(F.col(key).alias("_key"), F.col("effective_from").alias("_at"), version.alias("_version")), allowMissingColumns=True)
+    both = sliced(both, ["_key"], ["_at"], "asof")
+    ends = both.groupBy("_key", "_slice").agg(F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_at"))).alias("_end"))
+    carried = ends.select("_key", "_slice", F.last("_end", ignorenulls=True).over(Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)).alias("_in"))
+    running = Window.partitionBy("_key", "_slice").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_seen", F.last("_version", ignorenulls=True).over(running)).where("_row IS NOT NULL")
+    found = found.join(carried, ["_key", "_slice"]).withColumn("_v", F.coalesce("_seen", "_in"))
+    valid = F.col("_v.effective_to").isNull() | (F.col("_at") < F.col("_v.effective_to"))
+    found = found.select("_row.*", F.when(valid, F.col("_v")).alias("_v")).select(*[F.col(f"`{c}`") for c in events.columns], "_v.*")
+    return found.unionByName(events.where(~placed), allowMissingColumns=True)

@@ -25,18 +25,38 @@ def get_session(app: str = "harborline", master: str | None = None, **conf: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Only in local mode, as in tests, may it be unset; a local one serves then."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="harborline-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder, which is deleted when the application ends."""
+    app = spark.sparkContext.applicationId
+    path = f"{scratch_root(spark)}/harborline/{app}"
+    if _deleted_at_exit.get(app) != path:
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _deleted_at_exit[app] = path
+    return path
+
+
+_deleted_at_exit: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{scratch_root(spark)}/harborline/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -303,3 +303,26 @@ def test_model_of_an_event(spark):
     df = spark.createDataFrame([("1", "facility.capacity_changed", "v1", json.dumps(p)) for p in (good, bad)], "event_id string, event_type string, event_version string, payload string")
     a, b = validate.validated(df, event_models.schemas("facility.capacity_changed", "driver.assigned")).collect()
     assert a.errors == [] and sorted(e.field for e in b.errors) == ["current_units", "is_critical", "utilization_percentage"]
+
+
+def test_unknown_keywords_and_enums_are_refused(spark):
+    for bad in ({"properties": {"a": {"minItems": 1}}}, {"additionalProperties": False}, {"enum": [[1]]}):
+        with pytest.raises(ValueError):
+            validate.compile_schema(bad, F.col("x"))
+
+
+def test_masks_of_columns_and_of_payloads_agree(spark):
+    import json
+    import random
+
+    from harborline.functions import masking
+
+    r = random.Random(4)
+    alphabet = "abcXYZ 0189.@-_äß \t+"
+    rows = [(n, "".join(r.choice(alphabet) for _ in range(r.randrange(0, 14)))) for n in range(600)]
+    df = spark.createDataFrame(rows, "n bigint, v string")
+    for name in ("email", "phone", "first_name", "street", "ssn"):
+        for key in (None, b"key"):
+            both = df.select("v", masking.mask_value(name, F.col("v"), key).alias("column"), masking.mask_payload(F.to_json(F.struct(F.col("v").alias(name))), key).alias("payload")).collect()
+            wrong = [(x.v, x.column, json.loads(x.payload)[name]) for x in both if x.column != json.loads(x.payload)[name]]
+            assert not wrong, (name, wrong[:3])

@@ -61,3 +61,7 @@ def test_payload_numbers_nulls_and_empty(spark):
     out = {(r.message_id, r.field_name): r.utc_us for r in timestamps.normalise(messages, facilities).collect()}
     assert out == {(0, "timestamp"): 1761902945_950000, (4, "timestamp"): 1748416222963_000}
     assert timestamps.normalise(messages.limit(0), facilities).count() == 0
+
+
+def test_separators_alone_state_nothing(spark):
+    assert set(normalised(spark, ["2024|1|2|3|4|5|||Z|", "||||||||||", "a|b"]).values()) == {None}
