@@ -121,6 +121,40 @@ _FACILITIES = _history("facility_id", ["facility_name", "status", "capacity_unit
     UNION ALL SELECT DISTINCT facility_id, event_time, 0, NULL, NULL, true, {'v': facility_name}, {'v': status}, {'v': capacity_units} FROM facilities""")
 _DRIVERS = _history("driver_id", ["home_facility_id"], "driver_updates", "")
 
+def _instants_sql() -> str:
+    """SQL of p1_found: a text is parted into its head, read by strptime's formats, and its tail, the zone."""
+    offsets = ", ".join(f"('{k}', {v})" for k, v in timestamps.ABBREVIATIONS.items())
+    clock = ("%H:%M:%S", "%H:%M", "%I:%M:%S %p", "%I:%M %p")
+    formats = lambda *dates: "[" + ", ".join(f"'{d} {c}'" for d in dates for c in clock) + "]"
+    plain = formats("%Y-%m-%d", "%d %B %Y", "%d %b %Y", "%b %d, %Y", "%B %d, %Y", "%Y-%j")[:-1] + ", '%Y%m%d %H%M%S', '%H:%M:%S %Y-%m-%d', '%H:%M %Y-%m-%d']"
+    return f"""
+    WITH abbreviation(name, minutes) AS (VALUES {offsets}), zone AS (SELECT DISTINCT lower(name) AS k, first(name) AS name FROM pg_timezone_names() GROUP BY 1),
+    w AS (SELECT message_id, source_system, facility_id, unnest(['event_time', 'timestamp']) AS field_name, unnest([event_time, CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.timestamp') END]) AS written FROM raw_messages),
+    t AS (SELECT *, upper(regexp_replace(regexp_replace(written, '^[\\s"''\\x{{a0}}]+|[\\s"''\\x{{a0}}]+$', '', 'g'), '\\s+', ' ', 'g')) AS t FROM w WHERE written IS NOT NULL),
+    o AS (SELECT source_system, count(*) FILTER (a > 12) > count(*) FILTER (b > 12) AS day_first
+          FROM (SELECT source_system, TRY_CAST(regexp_extract(t, '^(\\d+)[/.]\\d+[/.]\\d{{4}} ', 1) AS INT) AS a, TRY_CAST(regexp_extract(t, '^\\d+[/.](\\d+)[/.]\\d{{4}} ', 1) AS INT) AS b FROM t) GROUP BY 1),
+    f AS (SELECT facility_id, zone.name AS default_zone FROM (SELECT facility_id, min(timezone) AS z FROM facilities GROUP BY 1) LEFT JOIN zone ON k = regexp_replace(lower(regexp_replace(z, '^\\s+|\\s+$', '', 'g')), '\\s+', '_', 'g')),
+    parts AS (SELECT t.*, day_first, default_zone, regexp_extract(t, '\\[([A-Z0-9_/+-]+)\\]$', 1) AS named, regexp_replace(t, '\\[[A-Z0-9_/+-]+\\]$', '') AS u
+              FROM t LEFT JOIN o USING (source_system) LEFT JOIN f USING (facility_id)),
+    tails AS (SELECT *, trim(regexp_extract(u, '(?:[:\\dM][\\d.,]*|\\dT\\d+)( ?(?:Z|UTC?|[A-Z]{{3,4}}|[+-]\\d\\d(?::?\\d\\d)?))$', 1)) AS tail FROM parts),
+    timed AS (SELECT *, CASE WHEN regexp_matches(u, '^\\d{{4}}-\\d\\d-\\d\\d$') THEN '' ELSE tail END AS z FROM tails),
+    heads AS (SELECT *, trim(left(u, length(u) - length(z))) AS h FROM timed),
+    cut AS (SELECT *, regexp_extract(h, ':\\d\\d[.,](\\d+)', 1) AS frac, regexp_replace(regexp_replace(regexp_replace(h, '(:\\d\\d)[.,]\\d+', '\\1'), '^[A-Z]+,? (\\d+ [A-Z])', '\\1'), '(\\d)T(\\d)|^(\\d{{8}})(\\d{{6}})$', '\\1\\3 \\2\\4') AS h1 FROM heads),
+    whole AS (SELECT *, regexp_matches(h1, ' 24:00(:00)?$') AS midnight, regexp_replace(regexp_replace(h1, ' 24:00', ' 00:00'), '([AP]M)$', ' \\1') AS h2 FROM cut),
+    dated AS (SELECT *, regexp_replace(h2, '  +', ' ') AS h3 FROM whole),
+    wall AS (SELECT *, coalesce(CASE WHEN regexp_matches(h3, '^\\d\\d?[/.]\\d\\d?[/.]\\d{{4}} ') THEN CASE WHEN day_first THEN try_strptime(replace(h3, '.', '/'), {formats("%d/%m/%Y")}) ELSE try_strptime(replace(h3, '.', '/'), {formats("%m/%d/%Y")}) END
+                                 ELSE try_strptime(regexp_replace(h3, '^([A-Z]{{3}})[A-Z]* (\\d)', '\\1 \\2'), {plain}) END) + CASE WHEN midnight THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END
+                                 + to_microseconds(CAST(rpad(left(frac, 6), 6, '0') AS BIGINT)) AS wt FROM dated WHERE regexp_matches(u, '[-/.: T]|^\\d{{14}}')),
+    placed AS (SELECT wall.*, minutes, CASE WHEN regexp_matches(z, '^[+-]') THEN (CASE WHEN z LIKE '-%' THEN -1 ELSE 1 END) * (CAST(z[2:3] AS INT) * 60 + coalesce(TRY_CAST(right(replace(z, ':', '')[4:], 2) AS INT), 0)) ELSE minutes END AS off,
+                      CASE WHEN named <> '' THEN zone.name ELSE coalesce(default_zone, 'UTC') END AS zn
+               FROM wall LEFT JOIN abbreviation ON abbreviation.name = z LEFT JOIN zone ON k = lower(named)),
+    local AS (SELECT *, timezone(zn, wt) AS x FROM placed WHERE wt IS NOT NULL AND z = ''),
+    numbers AS (SELECT message_id, field_name, TRY_CAST(t AS DECIMAL(38,12)) AS n FROM t WHERE regexp_matches(t, '^-?\\d+(\\.\\d*)?$') AND NOT regexp_matches(t, '^\\d{{14}}$'))
+    SELECT message_id, field_name, epoch_us(wt) - CAST(off AS BIGINT) * 60000000 AS utc_us FROM placed WHERE wt IS NOT NULL AND z <> '' AND off IS NOT NULL
+    UNION ALL SELECT message_id, field_name, epoch_us(CASE WHEN timezone(zn, x - INTERVAL 1 HOUR) = wt THEN x - INTERVAL 1 HOUR WHEN timezone(zn, x - INTERVAL 30 MINUTE) = wt THEN x - INTERVAL 30 MINUTE ELSE x END) FROM local WHERE zn IS NOT NULL
+    UNION ALL SELECT message_id, field_name, CAST(CASE WHEN abs(n) >= 1e8 AND abs(n) < 1e11 THEN floor(n * 1000000) WHEN abs(n) >= 1e11 AND abs(n) < 1e14 THEN floor(n * 1000) ELSE floor(n) END AS BIGINT) FROM numbers WHERE abs(n) >= 1e8 AND abs(n) < 1e17"""
+
+
 QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p4_found": p4_found, "p4_facilities": p4_facilities, "p4_drivers": p4_drivers, "p7_found": p7_found, "p3_found": p3_found, "p3_revisions": p3_revisions, "p3_too_late": p3_too_late}
 QUERIES |= {f"p6_table_{t.replace('.', '_')}": p6_table(t) for t in _LANDED}
 ORACLE = {
@@ -136,4 +170,5 @@ ORACLE = {
                row_number() OVER w AS revision, CAST(sum(added) OVER w AS BIGINT) AS total
         FROM cells WINDOW w AS (PARTITION BY facility_id, p ORDER BY q ROWS UNBOUNDED PRECEDING)""",
     "p3_too_late": f"SELECT facility_id, p AS period_start, count(*) AS too_late FROM ({_CLASSIFIED}) WHERE arrival = 'too_late' GROUP BY ALL",
+    "p1_found": _instants_sql(),
 }
