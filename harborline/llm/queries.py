@@ -57,4 +57,19 @@ def p10_profile(spark, sf):
 
 
 QUERIES = {"p2_found": p2_found, "p2_masked": p2_masked, "p8_found": p8_found, "p8_passages": p8_passages, "p8_removal": p8_removal, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
-ORACLE: dict[str, str] = {}
+
+def _words_sql(source: str, key: str) -> str:
+    """Words of the texts of a table as lists: full-width letters and digits as plain ones, without markup, accents and signs inside words."""
+    wide, narrow = ("".join(chr(c + k) for a, b in (("0", "9"), ("A", "Z"), ("a", "z")) for c in range(ord(a), ord(b) + 1)) for k in (0xFEE0, 0))
+    text = f"translate(replace(regexp_replace(text, '</?[A-Za-z][^<>]*>', ' ', 'g'), 'ﬁ', 'fi'), '{wide}', '{narrow}')"
+    text = f"regexp_replace(text_, '[''’‘\\x{{200b}}\\x{{ad}}]', '', 'g')".replace("text_", f"lower(strip_accents({text}))")
+    return f"SELECT DISTINCT {key}, list_filter(regexp_split_to_array({text}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM {source} WHERE {key} IS NOT NULL AND text IS NOT NULL"
+
+
+def _runs_sql(source: str, key: str) -> str:
+    return f"SELECT DISTINCT {key}, array_to_string(w[k:k + {contamination.LEAST_WORDS - 1}], ' ') AS run FROM (SELECT {key}, w, unnest(range(1, len(w) - {contamination.LEAST_WORDS - 2})) AS k FROM ({_words_sql(source, key)}))"
+
+
+ORACLE: dict[str, str] = {
+    "p8_found": f"SELECT DISTINCT doc_id, item_id FROM ({_runs_sql('documents', 'doc_id')}) JOIN ({_runs_sql('eval_items', 'item_id')}) USING (run)",
+}
