@@ -7,18 +7,38 @@ from pyspark.sql import types as T
 _S, _TS, _L, _D, _B, _DATE = T.StringType(), T.TimestampType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.DateType()
 
 
-def _struct(spec: str) -> T.StructType:
-    """Fields as 'name:type' words; an exclamation mark makes a field required."""
-    kinds = {"s": _S, "t": _TS, "l": _L, "d": _D, "b": _B, "date": _DATE}
-    fields = (w.partition(":")[::2] for w in spec.split())
-    return T.StructType([T.StructField(n.rstrip("!"), kinds[k or "s"], not n.endswith("!")) for n, k in fields])
+REQUIRED, NULLABLE = False, True
 
 
-ENVELOPE = _struct("event_id! event_type! event_version! event_time!:t ingest_time!:t source_system! payload trace_id")
+def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
+    return T.StructType([T.StructField(*f) for f in fields])
+
+
+# Columns of envelopes, clean and curated tables, domains, event types
+ENVELOPE = _struct(
+    ("event_id", _S, REQUIRED),
+    ("event_type", _S, REQUIRED),
+    ("event_version", _S, REQUIRED),
+    ("event_time", _TS, REQUIRED),
+    ("ingest_time", _TS, REQUIRED),
+    ("source_system", _S, REQUIRED),
+    ("payload", _S, NULLABLE),
+    ("trace_id", _S, NULLABLE),
+)
 VALIDATION_ERRORS = "array<struct<field: string, message: string, error_code: string, value: string>>"
 DOMAINS = ["shipment", "facility", "driver", "delivery"]
 
-_COMMON = "event_id! event_type! event_version! event_time!:t ingest_time!:t trace_id source_system payload dedupe_key!"
+_COMMON = _struct(
+    ("event_id", _S, REQUIRED),
+    ("event_type", _S, REQUIRED),
+    ("event_version", _S, REQUIRED),
+    ("event_time", _TS, REQUIRED),
+    ("ingest_time", _TS, REQUIRED),
+    ("trace_id", _S, NULLABLE),
+    ("source_system", _S, NULLABLE),
+    ("payload", _S, NULLABLE),
+    ("dedupe_key", _S, REQUIRED),
+)
 #: Columns that a domain's clean table has besides the common ones.
 PROMOTED = {
     "shipment": ["shipment_id", "tracking_number", "carrier_id", "facility_id"],
@@ -29,16 +49,72 @@ PROMOTED = {
 
 GOLD = {
     "fact_deliveries": _struct(
-        "delivery_id! shipment_id! delivery_date!:date facility_id driver_id carrier_id status scheduled_time:t delivery_time:t "
-        "first_attempt_time:t attempt_count:l on_time_flag:b delivery_duration_minutes:l"
+        ("delivery_id", _S, REQUIRED),
+        ("shipment_id", _S, REQUIRED),
+        ("delivery_date", _DATE, REQUIRED),
+        ("facility_id", _S, NULLABLE),
+        ("driver_id", _S, NULLABLE),
+        ("carrier_id", _S, NULLABLE),
+        ("status", _S, NULLABLE),
+        ("scheduled_time", _TS, NULLABLE),
+        ("delivery_time", _TS, NULLABLE),
+        ("first_attempt_time", _TS, NULLABLE),
+        ("attempt_count", _L, NULLABLE),
+        ("on_time_flag", _B, NULLABLE),
+        ("delivery_duration_minutes", _L, NULLABLE),
+    ),
+    "fact_shipment_events": _struct(
+        ("event_id", _S, REQUIRED),
+        ("shipment_id", _S, REQUIRED),
+        ("event_date", _DATE, REQUIRED),
+        ("event_type", _S, REQUIRED),
+        ("event_time", _TS, REQUIRED),
+        ("facility_id", _S, NULLABLE),
+        ("carrier_id", _S, NULLABLE),
+        ("driver_id", _S, NULLABLE),
+        ("status", _S, NULLABLE),
+        ("latitude", _D, NULLABLE),
+        ("longitude", _D, NULLABLE),
     ),
-    "fact_shipment_events": _struct("event_id! shipment_id! event_date!:date event_type! event_time!:t facility_id carrier_id driver_id status latitude:d longitude:d"),
     "dim_facility": _struct(
-        "facility_id! facility_name facility_type address city state country postal_code latitude:d longitude:d timezone "
-        "capacity_units:l is_active:b effective_from!:t effective_to:t is_current!:b"
+        ("facility_id", _S, REQUIRED),
+        ("facility_name", _S, NULLABLE),
+        ("facility_type", _S, NULLABLE),
+        ("address", _S, NULLABLE),
+        ("city", _S, NULLABLE),
+        ("state", _S, NULLABLE),
+        ("country", _S, NULLABLE),
+        ("postal_code", _S, NULLABLE),
+        ("latitude", _D, NULLABLE),
+        ("longitude", _D, NULLABLE),
+        ("timezone", _S, NULLABLE),
+        ("capacity_units", _L, NULLABLE),
+        ("is_active", _B, NULLABLE),
+        ("effective_from", _TS, REQUIRED),
+        ("effective_to", _TS, NULLABLE),
+        ("is_current", _B, REQUIRED),
+    ),
+    "dim_carrier": _struct(
+        ("carrier_id", _S, REQUIRED),
+        ("carrier_name", _S, NULLABLE),
+        ("carrier_type", _S, NULLABLE),
+        ("scac_code", _S, NULLABLE),
+        ("is_active", _B, NULLABLE),
+        ("effective_from", _TS, REQUIRED),
+        ("effective_to", _TS, NULLABLE),
+        ("is_current", _B, REQUIRED),
+    ),
+    "dim_driver": _struct(
+        ("driver_id", _S, REQUIRED),
+        ("driver_name_hash", _S, NULLABLE),
+        ("carrier_id", _S, NULLABLE),
+        ("home_facility_id", _S, NULLABLE),
+        ("license_type", _S, NULLABLE),
+        ("is_active", _B, NULLABLE),
+        ("effective_from", _TS, REQUIRED),
+        ("effective_to", _TS, NULLABLE),
+        ("is_current", _B, REQUIRED),
     ),
-    "dim_carrier": _struct("carrier_id! carrier_name carrier_type scac_code is_active:b effective_from!:t effective_to:t is_current!:b"),
-    "dim_driver": _struct("driver_id! driver_name_hash carrier_id home_facility_id license_type is_active:b effective_from!:t effective_to:t is_current!:b"),
 }
 
 #: The twenty-one event types, by domain.
@@ -57,7 +133,7 @@ def event_types(domain: str | None = None) -> list[str]:
 
 def silver(domain: str) -> T.StructType:
     """Schema of a domain's clean table; an unknown domain has the common columns only."""
-    return T.StructType(_struct(_COMMON).fields + [T.StructField(c, _S, True) for c in PROMOTED.get(domain, [])])
+    return T.StructType(_COMMON.fields + [T.StructField(c, _S, True) for c in PROMOTED.get(domain, [])])
 
 
 def schema_string(domain: str) -> str:
