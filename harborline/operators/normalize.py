@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions import jsontext
+from harborline.session import spread
 
 # Names under which a message may carry an envelope field, in order
 ALIASES = {
@@ -53,7 +54,7 @@ def normalize(messages: DataFrame, ingest_time: Column | None = None, new_id: Co
     attributes = F.coalesce(F.col("attributes"), F.create_map().cast("map<string,string>"))
     data = F.coalesce(F.col("data"), F.lit(b"")).cast("string")
     text = F.when(F.is_valid_utf8(data), data).otherwise(F.hex(F.col("data")))
-    raw = jsontext.once(messages.select(text.alias("_text"), attributes.alias("_attributes"), now.alias("ingest_time"), new_id.alias("_new")), "_object", F.from_json("_text", "map<string,variant>"))
+    raw = jsontext.once(spread(messages).select(text.alias("_text"), attributes.alias("_attributes"), now.alias("ingest_time"), new_id.alias("_new")), "_object", F.from_json("_text", "map<string,variant>"))
     whole = F.from_json(F.to_json(F.struct(F.col("_text").alias("raw_data"))), "map<string,variant>")
     raw = raw.withColumn("_body", F.coalesce("_object", whole))
     b, a = F.col("_body"), F.col("_attributes")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.operators.lookup import lookup
-from harborline.session import materialize
+from harborline.session import materialize, spread
 
 #: Hash buckets for shapes and for words of a field in a content histogram, which bound its size.
 SHAPES, WORDS = 1 << 16, 1 << 16
@@ -132,7 +132,7 @@ def profiles(landed: DataFrame) -> DataFrame:
     changes no share. The row with path '' and kind 'file' stands for the file itself.
     """
     rows = landed.select("feed_id", "file_no", "payload").where("feed_id IS NOT NULL AND file_no IS NOT NULL")
-    parts = rows.mapInPandas(_profile, "feed_id string, file_no bigint, path string, kind string, token string, n bigint")
+    parts = spread(rows).mapInPandas(_profile, "feed_id string, file_no bigint, path string, kind string, token string, n bigint")
     return materialize(parts.groupBy("feed_id", "file_no", "path", "kind", "token").agg(F.sum("n").alias("n")), "profiles")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.operators.lookup import lookup
-from harborline.session import materialize
+from harborline.session import materialize, spread
 
 _ZONE = r"(Z|UTC?|[A-Z]{3,4}|[+-]\d{2}(?::?\d{2})?)?"
 _CLOCK = r"(\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
@@ -121,7 +121,7 @@ def normalise(messages: DataFrame, facilities: DataFrame) -> DataFrame:
     utc_us is null where no instant is stated. facilities may repeat a facility: its smallest zone spelling counts;
     one that names no zone counts as missing.
     """
-    rows = messages.select(
+    rows = spread(messages.select("message_id", "source_system", "facility_id", "event_time", "payload")).select(
         "message_id", "source_system", "facility_id", F.col("event_time").alias("_e"),
         F.from_json("payload", "timestamp STRING", {"mode": "PERMISSIVE"})["timestamp"].alias("_p"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions import envelope, jsontext
+from harborline.session import spread
 from harborline.types import DOMAINS, VALIDATION_ERRORS
 
 
@@ -131,7 +132,7 @@ def validated(df: DataFrame, schemas: dict[str, dict] | None = None) -> DataFram
     Of the schemas, the one named type_version counts, else type, else domain. A null or unreadable payload breaks a
     schema that wants an object.
     """
-    schemas = schemas or {}
+    schemas, df = schemas or {}, spread(df)
     parts = [F.array_compact(F.array(*envelope_errors()))]
     kind, d = F.col("event_type"), envelope.domain(F.col("event_type"))
     versioned = F.concat(kind, F.lit("_"), F.col("event_version"))

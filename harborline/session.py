@@ -78,6 +78,19 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where it is a plain scan of fewer partitions than these; for steps that cost far more than a shuffle of so few files.
+
+    Larger inputs have more partitions and are left alone, as is anything that was shuffled already.
+    """
+    if df.isStreaming:
+        return df
+    cores, plan = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution().executedPlan()
+    if plan.nodeName().startswith("AdaptiveSparkPlan") or plan.execute().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; zoneless timestamps are read as UTC instants."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
