@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from harborline.llm.fm_index import FMIndex
 from harborline.llm.words import word_spans, words
-from harborline.session import materialize, plan_bytes
+from harborline.session import materialize, plan_bytes, spread
 
 #: Words of an item that a document must repeat in a row.
 LEAST_WORDS = 12
@@ -111,7 +111,7 @@ def found(documents: DataFrame, items: DataFrame, least: int = LEAST_WORDS, shar
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
         run = _searcher(phrases([(r.item_id, r.text) for r in block.collect()], least), least, shard_words)
-        parts.append(documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id bigint, item_id bigint, first_word bigint, end_word bigint, start_char bigint, end_char bigint"))
+        parts.append(spread(documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")).mapInPandas(run, "doc_id bigint, item_id bigint, first_word bigint, end_word bigint, start_char bigint, end_char bigint"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.operators.lookup import lookup
-from harborline.session import materialize
+from harborline.session import materialize, spread
 
 TEXTS = ["delivery_instructions", "delivery_notes", "failure_notes"]
 #: Share of known mentions that makes a pattern trusted, by kind; share of an instance's mentions in trusted patterns that makes it known.
@@ -273,7 +273,7 @@ def _by_type(values: dict[str, float]):
 def _pattern_shares(graph: DataFrame, known: DataFrame) -> DataFrame:
     """(kind, pattern, type, share, support): the share of a pattern's mentions that are of known instances."""
     key = lambda c: F.concat_ws("\t", "kind", c, "type")
-    marked = lookup(graph.withColumn("_k", key("instance")), known.select(key("instance").alias("_k"), F.lit(1).alias("hit")), "_k", "pattern")
+    marked = lookup(graph.withColumn("_k", key("instance")), known.select(key("instance").alias("_k"), F.lit(1).alias("hit")), "_k", "pattern", written=True)
     return marked.groupBy("kind", "pattern", "type").agg((F.sum(F.when(F.col("hit") == 1, F.col("n")).otherwise(0)) / F.sum("n")).alias("share"), F.sum("n").alias("support"))
 
 
@@ -369,10 +369,10 @@ def items(records: DataFrame) -> DataFrame:
     already has are no items. What is gathered per text is bounded by the text.
     """
     put = F.pandas_udf(_put_together, "array<struct<pii_type: string, item_no: int, first: int, last: int>>")
-    found = materialize(texts(records).mapInArrow(_parse, _MENTION), "mentions")
+    found = materialize(spread(texts(records)).mapInArrow(_parse, _MENTION), "mentions")
     known, shares = bootstrap(found)
     here = found.where("counted IS NULL").select("record_id", "field_name", "text_no", "kind", "first", "last", "instance", "pattern", "gap", F.concat_ws(" ", "kind", "instance").alias("key"))
-    typed = lookup(here, known, "key", "record_id")
+    typed = lookup(here, known, "key", "record_id", written=True)
     typed = typed.withColumn("type", F.expr("CASE WHEN kind IN ('name', 'firm') AND (type IS NULL OR kind = 'firm') THEN 'word' WHEN kind = 'email' AND type IS NOT NULL THEN 'EMAIL' ELSE type END")).where("type IS NOT NULL")
     # the words before a number may speak against the type of its shape
     refuted = shares.where((F.col("kind") == "number") & (F.col("support") >= REFUTING) & (F.col("share") < REFUTED))

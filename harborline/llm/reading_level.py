@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.session import materialize
+from harborline.session import materialize, spread
 
 BANDS = ["basic", "middle", "advanced"]
 #: Words that a text needs to be graded; labelled documents that the ranker is fitted on at most, drawn by a hash of doc_id.
@@ -211,7 +211,7 @@ def levels(documents: DataFrame, ranker: Ranker | None) -> DataFrame:
                 continue
             yield pd.DataFrame({"doc_id": pdf.doc_id, "score": ranker.scores(x), "reading_band": [BANDS[k] for k in ranker.levels(x)]})
 
-    return documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id bigint, score double, reading_band string")
+    return spread(documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")).mapInPandas(run, "doc_id bigint, score double, reading_band string")
 
 
 def profile(documents: DataFrame, ranker: Ranker | None) -> DataFrame:
