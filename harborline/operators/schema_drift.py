@@ -16,6 +16,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,34 +247,41 @@ def compare(old: Schema, new: Schema) -> list[tuple[str, str, str]]:
     return out + [("removed", p, "") for p in gone] + [("added", q, "") for q in come]
 
 
-def _pair(pdf: pd.DataFrame) -> pd.DataFrame:
-    feed, no = pdf.feed_id.iloc[0], pdf.file_no.iloc[0]
-    sides = {side: part for side, part in pdf.groupby("side")}
-    found = []
-    if len(sides) == 2:
-        leafy = set(pdf.path[pdf.leafy])
-        rows = lambda part: list(zip(part.path, part.kind, part.token, part.n))
-        found = compare(Schema(rows(sides["old"]), leafy), Schema(rows(sides["new"]), leafy))
-    return pd.DataFrame([(feed, no, *x) for x in found], columns=["feed_id", "file_no", "change_kind", "field_path", "new_path"])
+_CHANGE = pa.schema([("feed_id", pa.string()), ("file_no", pa.int64()), ("change_kind", pa.string()), ("field_path", pa.string()), ("new_path", pa.string())])
+
+
+def _pair(group: pa.Table) -> pa.Table:
+    feed, no = group.column("feed_id")[0].as_py(), group.column("file_no")[0].as_py()
+    sides: dict[str, list] = {"old": [], "new": []}
+    leafy = set()
+    for side, path, kind, token, n, plain in zip(*(group.column(c).to_pylist() for c in ("side", "path", "kind", "token", "n", "leafy"))):
+        sides[side].append((path, kind, token, n))
+        if plain:
+            leafy.add(path)
+    found = compare(Schema(sides["old"], leafy), Schema(sides["new"], leafy))
+    return pa.Table.from_pylist([dict(zip(_CHANGE.names, (feed, no, *x))) for x in found], schema=_CHANGE)
 
 
 def changes(profile: DataFrame) -> DataFrame:
     """(feed_id, file_no, change_kind, field_path, new_path): each change against the file before.
 
-    A group is the two profiles of one file pair, bounded by the width of their schemas, not by their records. A file
-    whose predecessor is missing is compared with nothing.
+    Only pairs of files whose paths or kinds differ are compared, and content is only looked at where a path went and
+    another came. A group is the two profiles of such a pair, bounded by the width of their schemas, not by their
+    records. A file whose predecessor is missing is compared with nothing.
     """
     plain = profile.where("kind NOT IN ('object', 'null', 'file')").groupBy("feed_id", "path").agg(F.min("file_no").alias("first_plain"))
     later = lambda df: df.withColumn("file_no", F.col("file_no") + 1)
-    # content is compared only where a path went and another came
-    paths = profile.where("token = '' AND path <> ''").select("feed_id", "file_no", "path").distinct()
-    sides = paths.withColumn("there", F.lit(1)).unionByName(later(paths).withColumn("there", F.lit(2))).groupBy("feed_id", "file_no", "path").agg(F.sum("there").alias("there"))
-    moved = sides.groupBy("feed_id", "file_no").agg((F.bool_or(F.col("there") == 1) & F.bool_or(F.col("there") == 2)).alias("moved")).where("moved").select("feed_id", "file_no")
+    # a mark per path, the file itself being '', and one per kind at it that says something
+    kinds = F.array_compact(F.array(F.lit(""), F.when(~F.col("kind").isin("null", "file"), F.col("kind"))))
+    marks = profile.where("token = ''").select("feed_id", "file_no", "path", F.explode(kinds).alias("mark")).distinct()
+    sides = marks.withColumn("there", F.lit(1)).unionByName(later(marks).withColumn("there", F.lit(2))).groupBy("feed_id", "file_no", "path", "mark").agg(F.sum("there").alias("there"))
+    only = lambda side: F.bool_or((F.col("there") == side) & (F.col("mark") == ""))
+    pairs = sides.groupBy("feed_id", "file_no").agg(F.bool_or((F.col("path") == "") & (F.col("there") == 3)).alias("both"), F.bool_or(F.col("there") != 3).alias("differ"), (only(1) & only(2)).alias("moved"))
+    pairs = pairs.where("both AND differ").select("feed_id", "file_no", "moved")
     sided = profile.withColumn("side", F.lit("new")).unionByName(later(profile).withColumn("side", F.lit("old")))
-    sided = sided.where("token = ''").unionByName(sided.where("token <> ''").join(moved, ["feed_id", "file_no"], "left_semi"))
-    both = sided.join(plain, ["feed_id", "path"], "left")
-    both = both.withColumn("leafy", F.coalesce(F.col("first_plain") <= F.col("file_no"), F.lit(False))).drop("first_plain")
-    return both.groupBy("feed_id", "file_no").applyInPandas(_pair, "feed_id string, file_no bigint, change_kind string, field_path string, new_path string")
+    both = sided.join(pairs, ["feed_id", "file_no"]).where("token = '' OR moved").join(plain, ["feed_id", "path"], "left")
+    both = both.withColumn("leafy", F.coalesce(F.col("first_plain") <= F.col("file_no"), F.lit(False))).drop("first_plain", "moved")
+    return both.groupBy("feed_id", "file_no").applyInArrow(_pair, "feed_id string, file_no bigint, change_kind string, field_path string, new_path string")
 
 
 def roots(renames: DataFrame) -> DataFrame:
