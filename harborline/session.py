@@ -86,7 +86,7 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming:
         return df
     cores, plan = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution().executedPlan()
-    if plan.nodeName().startswith("AdaptiveSparkPlan") or plan.execute().getNumPartitions() >= cores:
+    if "AdaptiveSparkPlan" in plan.nodeName() or "Exchange" in plan.toString() or plan.execute().getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
