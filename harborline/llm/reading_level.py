@@ -51,15 +51,18 @@ def sentences(text: str) -> list[list[str]]:
 _ABSTRACT = ("tion", "tions", "ity", "ment", "ments", "ance", "ence", "ism")
 
 
-_KNOWN_WORDS: dict[str, tuple[int, int, int, int, int, int]] = {}
+_KNOWN_WORDS: dict[str, int] = {}
+#: Bits of a word's properties: letters, syllables, then whether it is a function, joining, subordinating or abstract one.
+_COUNT_BITS, _COUNT = 12, (1 << 12) - 1
 
 
-def _word(word: str) -> tuple[int, int, int, int, int, int]:
-    """Letters, syllables, and whether a lower-case word is a function, joining, subordinating or abstract one."""
+def _word(word: str) -> int:
+    """The properties of a lower-case word in one number; letters and syllables count up to 4095."""
     found = _KNOWN_WORDS.get(word)
     if found is None:
         syllables = max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
-        found = len(word), syllables, word in _ENGLISH, word in _COORDINATE, word in _SUBORDINATE, word.endswith(_ABSTRACT)
+        flags = (word in _ENGLISH) + 2 * (word in _COORDINATE) + 4 * (word in _SUBORDINATE) + 8 * word.endswith(_ABSTRACT)
+        found = min(len(word), _COUNT) | min(syllables, _COUNT) << _COUNT_BITS | flags << 2 * _COUNT_BITS
         if len(_KNOWN_WORDS) >= 1 << 17:
             _KNOWN_WORDS.clear()
         _KNOWN_WORDS[word] = found
@@ -70,17 +73,22 @@ def is_english_prose(text: str | None, least: int = LEAST_WORDS) -> bool:
     """Whether a text has `least` words and reads as English sentences rather than another language or a list of codes."""
     if not text:
         return False
-    tokens = [t for t in text.split() if t.isalpha() or any(c.isalnum() for c in t)]
-    if len(tokens) < least:
+    tokens = coded = 0
+    for t in text.split():
+        if t.isalpha():
+            tokens += 1
+        elif any(map(str.isalnum, t)):
+            tokens += 1
+            coded += _CODED.search(t) is not None
+    if tokens < least:
         return False
     found = Counter(_WORD.findall(text.lower()))
     n = found.total()
-    if n < 0.7 * len(tokens):
+    if n < 0.7 * tokens:
         return False
-    share = lambda words: sum(k for w, k in found.items() if w in words) / n
+    share = lambda words: sum(found[w] for w in words if w in found) / n
     english, other = share(_ENGLISH), max(share(s) for s in _OTHERS)
-    coded = sum(not t.isalpha() and _CODED.search(t) is not None for t in tokens) / len(tokens)
-    return english >= 0.1 and english > 1.3 * other and coded < 0.4
+    return english >= 0.1 and english > 1.3 * other and coded < 0.4 * tokens
 
 
 def features(text: str) -> list[float]:
@@ -88,9 +96,9 @@ def features(text: str) -> list[float]:
     parts = sentences(text)
     sizes = np.array([len(s) for s in parts], float)
     every = [w.lower() for s in parts for w in s]
-    known = np.array([_word(w) for w in every], float)
-    letters, syllables = known[:, 0], known[:, 1]
-    functional, joining, subordinating, abstract = known[:, 2:].sum(0).tolist()
+    known = np.fromiter(map(_word, every), np.int64, len(every))
+    letters, syllables = (known & _COUNT).astype(float), (known >> _COUNT_BITS & _COUNT).astype(float)
+    functional, joining, subordinating, abstract = (np.count_nonzero(known >> (2 * _COUNT_BITS + k) & 1) for k in range(4))
     cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)[:-1]
     part_letters = np.add.reduceat(letters, cuts) / sizes
     part_syllables = np.add.reduceat(syllables, cuts) / sizes
