@@ -80,3 +80,15 @@ def test_scratch_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         scratch_root(Cluster())
+
+
+def test_spread(spark, sf, tmp_path):
+    from harborline.session import spread, table
+
+    df = table(spark, sf, "documents")
+    wide = spread(df.select("doc_id"))
+    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and wide.count() == df.count()
+    grouped = df.groupBy("lang").count()
+    assert spread(grouped) is grouped and spread(wide) is wide
+    stream = spark.readStream.schema("a int").parquet(str(tmp_path))
+    assert spread(stream) is stream
