@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,38 +28,44 @@ def time_to_live(events: DataFrame, keys: list[str], hours: float = 24) -> DataF
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def timed_to_live(events: DataFrame, keys: list[str], clock: str, hours: float = 24) -> DataFrame:
-    """The first arrival per key, and again `hours` after that one, exactly and by any clock column; state ends with a timer per key.
+def timed_to_live(events: DataFrame, keys: list[str], clock: str, hours: float = 24, buckets: int = 4096) -> DataFrame:
+    """The first arrival per key, and again `hours` after that one, exactly and by any clock column; timers end the state.
 
-    Arrivals of one micro-batch count in the order of the clock; rows without a clock are left out. What is held per key
-    is one time; only keys, clock and the row as JSON pass through Python, in Arrow batches.
+    Arrivals of one micro-batch count in the order of the clock; rows without a clock are left out. A call of Python costs
+    as much as some thousand rows, so keys share a state by their hash: one time per key, without those that are over, and
+    a timer at the last one's end. A batch rewrites the states that its keys fall into; `buckets` must stay as it is
+    while a checkpoint is in use. Keys, which count as the same if their JSON is, clock and the other columns as JSON pass through Python.
     """
-    schema = events.schema
+    schema = events.drop(clock).schema
     ttl = int(hours * 3_600_000_000)
     rows = events.where(F.col(clock).isNotNull()).withWatermark(clock, "0 seconds")
-    rows = rows.select(*keys, F.unix_micros(clock).alias("_us"), F.col(clock).alias("_clock"), F.to_json(F.struct("*"), _EXACT).alias("_row"))
+    key = [(F.col(k) + F.lit(0).cast(kind) if kind in ("float", "double") else F.col(k)).alias(k) for k, kind in events.select(*keys).dtypes]  # -0.0 is 0.0
+    rows = rows.select(F.to_json(F.struct(*key), _EXACT).alias("_key"), F.unix_micros(clock).alias("_us"), F.col(clock).alias("_clock"), F.to_json(F.struct(*schema.names), _EXACT).alias("_row"))
 
-    def run(key, batches, state):
-        first = state.get[0] if state.exists else None
+    def run(bucket, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        arrived = sorted((us, row) for pdf in batches for us, row in zip(pdf["_us"], pdf["_row"]))
+        firsts = json.loads(state.get[0]) if state.exists else {}
+        arrived = sorted(x for pdf in batches for x in zip(pdf["_us"].tolist(), pdf["_row"].tolist(), pdf["_key"].tolist()))
         out = []
-        for us, row in arrived:
-            if first is None or us - first >= ttl:
-                first = us
-                out.append(row)
-        end = (first + ttl) // 1000
-        if end > state.getCurrentWatermarkMs():
-            state.update((int(first),))
-            state.setTimeoutTimestamp(end)
+        for us, row, key in arrived:
+            if key not in firsts or us - firsts[key] >= ttl:
+                firsts[key] = us
+                out.append((us, row))
+        over = state.getCurrentWatermarkMs()
+        firsts = {key: us for key, us in firsts.items() if (us + ttl) // 1000 > over}
+        if firsts:
+            state.update((json.dumps(firsts),))
+            state.setTimeoutTimestamp((max(firsts.values()) + ttl) // 1000)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({"_row": out})
+        yield pd.DataFrame(out, columns=["_us", "_row"])
 
-    kept = rows.groupBy(*keys).applyInPandasWithState(run, "_row string", "first bigint", "append", GroupStateTimeout.EventTimeTimeout)
-    return kept.select(F.from_json("_row", schema, _EXACT).alias("x")).select("x.*")
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
+    kept = rows.groupBy("_bucket").applyInPandasWithState(run, "_us bigint, _row string", "firsts string", "append", GroupStateTimeout.EventTimeTimeout)
+    time = F.timestamp_micros("_us").cast(events.schema[clock].dataType).alias(clock)
+    return kept.select(time, F.from_json("_row", schema, _EXACT).alias("x")).select(clock, "x.*").select(*events.columns)
 
 
 def per_batch(batch: DataFrame, key: str = "event_id", arrival: str = "ingest_time") -> DataFrame:
